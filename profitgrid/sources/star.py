@@ -53,9 +53,13 @@ class StarModel:
         self.spark = spark
         self.folder = folder
         self.broadcast_rows = broadcast_rows
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A table; its footer is read once per model."""
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     def _shipped_if_small(self, dimension: DataFrame, rows_of: str) -> DataFrame:
         """Broadcast a dimension after counting its rows (from file footers).
