@@ -63,9 +63,11 @@ def per_unit(amount: Column, units: Column) -> Column:
     return F.round(amount / F.nullif(units, F.lit(0)), 2)
 
 
-def as_text(value: Column) -> Column:
-    """A number as plain text without an exponent, as a text column of a report shows it."""
-    return value.cast("decimal(38,2)").cast("string")
+def as_text(value: Column, decimals: Column) -> Column:
+    """A number as plain text without an exponent, with two decimals where ``decimals`` holds."""
+    return F.when(decimals, value.cast("decimal(38,2)").cast("string")).otherwise(
+        value.cast("decimal(38,0)").cast("string")
+    )
 
 
 def position_in(column: Column, ordered: tuple[str, ...]) -> Column:

@@ -60,7 +60,8 @@ def rank_table(df: DataFrame, by: list[str], rank: Rank, bucket: Column | None =
         group = Window.partitionBy(*by).orderBy(rank.order()).rowsBetween(*earlier)
         before = F.coalesce(F.sum("_n").over(group), F.lit(0))
         return counts.select(*by, rank.column, (before + 1).alias(rank.name))
-    counts = counts.withColumn("_bucket", F.coalesce(bucket.cast("string"), F.lit("null")))
+    placed = F.when(F.col(rank.column).isNotNull(), bucket.cast("string")).otherwise(F.lit("null"))
+    counts = counts.withColumn("_bucket", placed)
     in_bucket = Window.partitionBy(*by, "_bucket").orderBy(rank.order()).rowsBetween(*earlier)
     # One row per bucket: the first value tells the order of the buckets.
     buckets = counts.groupBy(*by, "_bucket").agg(F.sum("_n").alias("_n"), F.min(rank.column).alias("_first"))

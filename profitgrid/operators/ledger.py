@@ -38,20 +38,21 @@ def postings_in_scope(
     )
 
 
-def monthly_by_account(
+def monthly_by_rule_key(
     ledger: DataFrame,
     periods: Periods,
     rules: RuleBook,
     letters: tuple[str, ...] | None = AREA_LETTERS,
 ) -> DataFrame:
-    """The one pass over the ledger: sums per month, account and scope.
+    """The one pass over the ledger: sums per month, rule key and scope.
 
-    Summing before the rules are joined makes everything after it independent of the number of
-    postings, and a scope that holds most postings (head office) still is one row per map task.
+    Summing before the rules are joined leaves at most twelve months x rule keys x nine scopes per
+    year, whatever the number of postings and accounts. A scope that holds most postings (head
+    office) still is one row per map task and key.
     """
     return (
-        postings_in_scope(ledger, periods, rules, letters)
-        .groupBy("year", "month", "account_code", "scope")
+        rules.keyed(postings_in_scope(ledger, periods, rules, letters))
+        .groupBy("year", "month", "rule_key", "scope")
         .agg(F.sum("amount").alias("amount"))
     )
 
@@ -59,8 +60,8 @@ def monthly_by_account(
 def year_to_date(monthly: DataFrame, periods: Periods, rules: RuleBook) -> DataFrame:
     """Year-to-date sums per metric, report month and scope.
 
-    ``monthly`` is small. It is spread by year, which also suits every later grouping and window
-    of a report (they all include the year), so none of them shuffles again.
+    ``monthly`` is as small as the rule book. It is spread by year, which also suits every later
+    grouping and window of a report (they all include the year), so none of them shuffles again.
     """
     return (
         periods.to_report_months(rules.apply(monthly).repartition("year"))
@@ -71,7 +72,7 @@ def year_to_date(monthly: DataFrame, periods: Periods, rules: RuleBook) -> DataF
 
 def head_pool(ledger: DataFrame, periods: Periods, rules: RuleBook) -> DataFrame:
     """Head-office total per metric and report month."""
-    sums = year_to_date(monthly_by_account(ledger, periods, rules), periods, rules)
+    sums = year_to_date(monthly_by_rule_key(ledger, periods, rules), periods, rules)
     return sums.where(F.col("scope") == HEAD).select(
         "metric", "year", "month", F.col("amount").alias("total_head")
     )
@@ -79,7 +80,7 @@ def head_pool(ledger: DataFrame, periods: Periods, rules: RuleBook) -> DataFrame
 
 def direct_by_area(ledger: DataFrame, periods: Periods, rules: RuleBook) -> DataFrame:
     """Directly booked total per metric, report month and region letter."""
-    sums = year_to_date(monthly_by_account(ledger, periods, rules), periods, rules)
+    sums = year_to_date(monthly_by_rule_key(ledger, periods, rules), periods, rules)
     return sums.where(F.col("scope") != HEAD).select(
         "metric", "year", "month", F.col("scope").alias("area_cde"), F.col("amount").alias("total_direct")
     )
@@ -92,7 +93,8 @@ def account_set_totals(ledger: DataFrame, rules: RuleBook) -> DataFrame:
         .groupBy("account_code")
         .agg(F.count(F.lit(1)).alias("postings"), F.sum("amount").alias("amount"))
     )
-    return rules.apply(per_account).select("metric", "account_code", "postings", "amount")
+    keyed = rules.keyed(per_account.withColumn("account", F.col("account_code")))
+    return rules.apply(keyed).select("metric", F.col("account").alias("account_code"), "postings", "amount")
 
 
 def account_class_totals(ledger: DataFrame) -> DataFrame:

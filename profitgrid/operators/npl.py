@@ -48,9 +48,9 @@ def risk_by_area(
             "flow_bad",
             "flow_all",
         )
-        .repartition("year")
         .groupBy("year", "month", "area_cde")
         .agg(F.sum("rows_bad").alias("rows_bad"), *sums)
+        .repartition("year")  # few rows from here on; later steps all group by year
     )
 
 

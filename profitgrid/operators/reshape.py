@@ -62,6 +62,7 @@ CRITERIA_ONE_MONTH = (
     *CRITERIA[21:],
 )
 NOT_TOTALLED = "Chỉ số tài chính"
+FRACTIONS = ("profit_before_tax", "net_fund_cost", "cost_fund_tt2", "cost_fund_cctg", "total_income")
 RATIOS = ("cir", "margin", "return_on_capital", "profit_per_head")
 
 CELL = "decimal(38,2)"  # whole amounts stay exact at any size, ratios have two digits
@@ -94,7 +95,7 @@ def pivot(
 
     Region columns are given, so Spark need not look for them first. The total adds up every
     criterion but the heading row, ratios included; ``total_ratios=False`` leaves theirs empty.
-    ``text=True`` formats the cells.
+    ``text=True`` formats the cells, with decimals where a criterion has them.
     """
     order = tuple(label for label, _ in criteria)
     ratio_labels = [label for label, measure in criteria if measure in RATIOS]
@@ -111,10 +112,9 @@ def pivot(
         *[cell(name).alias(name) for name in area_names], total.alias("Total")
     )
     if text:
-        shown = [*area_names, "Total"]
-        table = table.select(
-            "year", "month", "criterion", *[as_text(F.col(f"`{c}`")).alias(c) for c in shown]
-        )
+        decimals = F.col("criterion").isin(*[label for label, m in criteria if m in (*FRACTIONS, *RATIOS)])
+        cells = [as_text(F.col(f"`{c}`"), decimals).alias(c) for c in (*area_names, "Total")]
+        table = table.select("year", "month", "criterion", *cells)
     return table.withColumn("sort_pos", position_in(F.col("criterion"), order)).orderBy(
         "year", "month", F.col("sort_pos").asc_nulls_last()
     )

@@ -51,9 +51,9 @@ def monthly_by_area(
             "area_cde",
             *columns,
         )
-        .repartition("year")
         .groupBy("year", "month", "area_cde")
         .agg(*[F.sum(c).alias(c) for c in columns])
+        .repartition("year")  # few rows from here on; later steps all group by year
     )
     stacked = F.explode(
         F.array(

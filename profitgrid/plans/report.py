@@ -21,7 +21,7 @@ KEY = ["year", "month", "area_name"]
 
 
 def _sums(frames: Frames, periods: Periods, rules: R.RuleBook) -> DataFrame:
-    return L.year_to_date(L.monthly_by_account(frames.ledger, periods, rules), periods, rules)
+    return L.year_to_date(L.monthly_by_rule_key(frames.ledger, periods, rules), periods, rules)
 
 
 def _weights(frames: Frames, periods: Periods, weights: set[str]) -> DataFrame:
@@ -51,7 +51,7 @@ def interest_in_term_by_name(frames: Frames, periods: Periods, months: tuple[int
     """
     rules = frames.organisation.rules.only(["interest_in_term"])
     in_set = F.col("month").isin(*months)
-    monthly = L.monthly_by_account(frames.ledger, periods, rules, letters=None).where(in_set)
+    monthly = L.monthly_by_rule_key(frames.ledger, periods, rules, letters=None).where(in_set)
     keys = F.col("kpi_month").isin(*[y * 100 + m for y in periods.years for m in months])
     balances = W.monthly_by_area(frames.balances, frames.city, keys, rules.weights)
     values = A.allocate(L.year_to_date(monthly, periods, rules), W.over_report_months(balances, periods))

@@ -70,15 +70,33 @@ class RuleBook:
     def weights(self) -> set[str]:
         return {r.weight for r in self.rules}
 
+    @property
+    def accounts(self) -> list[int]:
+        return sorted({a for r in self.rules for a in r.accounts})
+
+    @property
+    def account_classes(self) -> list[int]:
+        return sorted({c for r in self.rules for c in r.account_classes})
+
     def has_account(self, column: str = "account_code") -> Column:
         """A test of the account that reaches the file scan: a list and ranges of codes."""
-        accounts = sorted({a for r in self.rules for a in r.accounts})
-        classes = sorted({c for r in self.rules for c in r.account_classes})
-        test = F.col(column).isin(*accounts) if accounts else F.lit(False)
-        for number in classes:
+        test = F.col(column).isin(*self.accounts) if self.accounts else F.lit(False)
+        for number in self.account_classes:
             test = test | in_account_class(column, number)
         return test
 
+    def keyed(self, postings: DataFrame) -> DataFrame:
+        """Replace ``account_code`` by ``rule_key``: a listed account's code, else its class.
+
+        Sums per rule key are as few as the rule book is long, however many accounts a class has.
+        Only a book that lists accounts of one of its own classes needs two keys for a posting.
+        """
+        number = account_class("account_code")
+        key = F.when(F.col("account_code").isin(*self.accounts), F.col("account_code")).otherwise(number)
+        if any(a // ACCOUNTS_PER_CLASS in self.account_classes for a in self.accounts):
+            key = F.explode(F.array_distinct(F.array(key, number)))
+        return postings.withColumn("rule_key", key).drop("account_code")
+
     def frame(self, spark: SparkSession) -> DataFrame:
         """One row per metric and account or class: (rule_key, metric, weight).
 
@@ -92,11 +110,10 @@ class RuleBook:
         schema = pa.schema([("rule_key", pa.int64()), ("metric", pa.string()), ("weight", pa.string())])
         return spark.createDataFrame(pa.Table.from_pylist(rows, schema=schema))
 
-    def apply(self, postings: DataFrame) -> DataFrame:
-        """Join postings, or sums of them per account, with the metrics that use the account."""
-        keys = F.array(F.col("account_code"), account_class("account_code"))
-        rules = F.broadcast(self.frame(postings.sparkSession))  # as long as the rule book
-        return postings.withColumn("rule_key", F.explode(keys)).join(rules, "rule_key").drop("rule_key")
+    def apply(self, keyed: DataFrame) -> DataFrame:
+        """Join sums per ``rule_key`` with the metrics that use the key."""
+        rules = F.broadcast(self.frame(keyed.sparkSession))  # as long as the rule book
+        return keyed.join(rules, "rule_key")
 
 
 # Accounts of each metric in the chart of accounts.

@@ -136,6 +136,18 @@ def test_account_class_is_a_range(spark):
     assert as_set(L.direct_by_area(rows, FEB, book), "total_direct") == {(110,)}
 
 
+def test_listed_account_of_another_metrics_class_counts_in_both(spark):
+    book = RuleBook(
+        (MetricRule("x", R.HEADCOUNT, account_classes=(85,)), MetricRule("y", R.HEADCOUNT, (850000000001, 700000000001)))
+    )
+    codes = (850000000001, 850000000002, 700000000001, 700000000002)
+    rows = ledger(spark, [direct(1, code, "B", 10**i) for i, code in enumerate(codes)])
+    assert as_set(L.direct_by_area(rows, FEB, book), "metric", "total_direct") == {("x", 11), ("y", 101)}
+    assert as_set(L.account_set_totals(rows, book), "metric", "account_code") == {
+        ("x", 850000000001), ("x", 850000000002), ("y", 850000000001), ("y", 700000000001)
+    }
+
+
 def test_account_in_list_and_class_of_one_metric_is_refused():
     with pytest.raises(ValueError):
         MetricRule("x", R.HEADCOUNT, (850000000001,), (85,))

@@ -53,7 +53,7 @@ def test_facts_are_scanned_once_for_all_metrics_and_months(spark, small):
 def test_period_accounts_and_prefixes_reach_the_ledger_scan(spark, tmp_path):
     path = str(tmp_path / "ledger")
     ledger(spark, [head(1, 702000030001, 5), direct(2, 850000000001, "B", -7)]).write.parquet(path)
-    plan = plan_of(L.monthly_by_account(spark.read.parquet(path), Periods.of(2023, 2), FINANCE_COMPANY))
+    plan = plan_of(L.monthly_by_rule_key(spark.read.parquet(path), Periods.of(2023, 2), FINANCE_COMPANY))
     pushed = next(line for line in plan.splitlines() if line.startswith("PushedFilters"))
     assert "GreaterThanOrEqual(transaction_date,2023-01-01),LessThan(transaction_date,2023-03-01)" in pushed.replace(", ", ",")
     assert "StringStartsWith(analysis_code,HEAD)" in pushed and "StringStartsWith(analysis_code,DVML)" in pushed
@@ -104,7 +104,7 @@ def test_hot_supplier_and_customer_split_by_adaptive_execution(spark, small, tmp
     try:
         model = StarModel(spark, folder, broadcast_rows=0)
         assert as_set(report.wide_report(model.frames(), periods), "*") == want
-        monthly = L.monthly_by_account(model.ledger, periods, model.frames().organisation.rules)
+        monthly = L.monthly_by_rule_key(model.ledger, periods, model.frames().organisation.rules)
         monthly.collect()
         assert "SortMergeJoin(skew=true)" in plan_of(monthly)
     finally:
