@@ -46,7 +46,8 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def src_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return StarModel(spark, sf_dir).ledger
+    ledger_rows = StarModel(spark, sf_dir).ledger
+    return ledger_rows.withColumn("transaction_date", F.col("transaction_date").cast("string"))
 
 
 def src_balances(spark: SparkSession, sf_dir: str) -> DataFrame:

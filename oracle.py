@@ -300,7 +300,8 @@ def statements() -> dict[str, str]:
     level2 = ", ".join(f"round({m}, 2) AS {m}" for m in R.LEVEL_2)
     june = _periods("6")
     sql = {
-        "src_ledger": f"WITH {LEDGER} SELECT * FROM ledger",
+        "src_ledger": f"""WITH {LEDGER}
+            SELECT * REPLACE (cast(transaction_date AS varchar) AS transaction_date) FROM ledger""",
         "src_balances": f"WITH {BALANCES} SELECT * FROM balances",
         "src_sales_kpi": f"WITH {DENSE} SELECT * FROM dense",
         "dim_city_build": f"""WITH {BALANCES}

@@ -62,6 +62,7 @@ def interest_in_term_by_name(frames: Frames, periods: Periods, months: tuple[int
         values.join(F.broadcast(frames.area), "area_cde")
         .select("year", "month", "area_name", F.round("value", 2).alias("interest_in_term"))
         .withColumn("sort_pos", F.row_number().over(best))  # at most eight regions per month
+        .orderBy("year", "month", "sort_pos")
     )
 
 
