@@ -92,13 +92,13 @@ def add_ranks(
             rows = rows.withColumn(rank.name, F.rank().over(window).cast("long"))
         return rows
     rows = rows.checkpoint()
-    ranked = rows
+    ranked, parts = rows, -(-rows.count() // values_per_task)
     for rank in ranks:
         bucket = None
         if rank.spread == "whole":
             bucket = width_bucket(rank.column, values_per_task)
         elif rank.spread == "any":
-            bucket = quantile_bucket(rows, rank.column, -(-rows.count() // values_per_task))
+            bucket = quantile_bucket(rows, rank.column, parts)
         table = rank_table(rows, by, rank, bucket)
         renamed = table.select(*[F.col(c).alias(f"_{c}") for c in (*by, rank.column)], rank.name)
         same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in (*by, rank.column)])

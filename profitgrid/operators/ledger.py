@@ -19,8 +19,11 @@ def postings_in_scope(
     """Postings of the period on accounts of the rules, with ``scope`` = HEAD or the region letter.
 
     All tests are on stored columns, so the file scan gets date ranges, account ranges and prefixes.
-    ``letters=None`` keeps direct postings of any letter.
+    A ledger stored by ``year`` and ``month`` is also pruned by these. ``letters=None`` keeps direct
+    postings of any letter.
     """
+    if {"year", "month"} <= set(ledger.columns):
+        ledger = ledger.where(periods.year_months())
     direct = is_direct()
     if letters is not None:
         direct = direct & area_letter().isin(*letters)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 from operator import add
 
@@ -98,9 +97,11 @@ def asm_averages(sales: DataFrame, periods: Periods) -> DataFrame:
     )
 
 
-def monthly_sheet(sales: DataFrame) -> DataFrame:
+def monthly_sheet(sales: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """The wide sheet, one row per manager and year, from monthly rows."""
-    cell: Callable[[str, int], Column] = lambda c, m: F.max(F.when(F.col("month") == m, F.col(c)))
-    return sales.groupBy("area_name", "sale_name", "email", "year").agg(
-        *[cell(c, i + 1).alias(f"{c}_{m}") for i, m in enumerate(MONTHS) for c in MEASURES]
-    )
+
+    def cell(measure: str, month: int) -> Column:
+        return F.max(F.when(F.col("month") == month, F.col(measure)))
+
+    cells = [cell(c, i).alias(f"{c}_{m}") for i, m in enumerate(MONTHS, 1) for c in MEASURES]
+    return sales.groupBy(*(keys or ["area_name", "sale_name", "email", "year"])).agg(*cells)

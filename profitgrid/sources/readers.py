@@ -18,13 +18,13 @@ def _read(spark: SparkSession, path: str, schema: T.StructType, fmt: str, **opti
 
 
 def read_ledger(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
-    """Ledger postings; partition them by year and month so that periods prune files."""
+    """Ledger postings; ``sinks.write_ledger`` stores them so that periods prune files."""
     ledger = _read(spark, path, schemas.LEDGER, fmt, **options)
     return ledger.withColumn("funding_id", or_default("funding_id"))
 
 
 def read_balances(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
-    """Monthly loan snapshot; partition it by ``kpi_month``."""
+    """Monthly loan snapshot; ``sinks.write_balances`` stores it so that periods prune files."""
     balances = _read(spark, path, schemas.BALANCES, fmt, **options)
     return balances.withColumn("funding_id", or_default("funding_id"))
 

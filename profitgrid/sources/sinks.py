@@ -15,6 +15,17 @@ def overwrite(report: DataFrame, path: str, partition_by: list[str] | None = Non
     return report.sparkSession.read.schema(report.schema).parquet(path)
 
 
+def write_ledger(ledger: DataFrame, path: str) -> None:
+    """Store postings by year and month of their date, so that reports read their months only."""
+    dated = ledger.withColumn("year", F.year("transaction_date")).withColumn("month", F.month("transaction_date"))
+    dated.write.mode("overwrite").partitionBy("year", "month").parquet(path)
+
+
+def write_balances(balances: DataFrame, path: str) -> None:
+    """Store the loan snapshot by month."""
+    balances.write.mode("overwrite").partitionBy("kpi_month").parquet(path)
+
+
 def read_stored(spark: SparkSession, path: str) -> DataFrame | None:
     """The stored table, or None before the first row is written."""
     try:

@@ -191,10 +191,9 @@ class StarModel:
         return self._suppliers.select("area_name", "sale_name", "email")
 
     @cached_property
-    def sales(self) -> DataFrame:
-        """KPIs of the months in which a manager had any line."""
+    def _monthly_kpis(self) -> DataFrame:
         approved = F.count(F.when(F.col("l_returnflag") != "R", 1))
-        monthly = (
+        return (
             self.table("lineitem")
             .groupBy("l_suppkey", F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month"))
             .agg(
@@ -205,15 +204,21 @@ class StarModel:
                 (approved / F.count(F.lit(1))).alias("approval_rate"),
             )
         )
-        suppliers = self._suppliers_to_join
+
+    @cached_property
+    def sales(self) -> DataFrame:
+        """KPIs of the months in which a manager had any line."""
+        monthly, suppliers = self._monthly_kpis, self._suppliers_to_join
         return monthly.join(suppliers, monthly["l_suppkey"] == suppliers["s_suppkey"]).select(
             "area_name", "sale_name", "email", "year", "month", *MEASURES
         )
 
     def sheet(self, years: tuple[int, ...]) -> DataFrame:
         """The wide sheet of the years: every manager, NULL where a month has no line."""
-        managers = self.roster.withColumn("year", F.explode(F.array(*[F.lit(y) for y in years])))
-        return managers.join(monthly_sheet(self.sales), ["area_name", "sale_name", "email", "year"], "left")
+        each_year = F.explode(F.array(*[F.lit(y) for y in years]))
+        managers = self._suppliers.withColumn("year", each_year).withColumnRenamed("s_suppkey", "l_suppkey")
+        cells = monthly_sheet(self._monthly_kpis, ["l_suppkey", "year"])
+        return managers.join(cells, ["l_suppkey", "year"], "left").drop("l_suppkey", "analysis_code")
 
     def sales_of_all_months(self, years: tuple[int, ...]) -> DataFrame:
         return sheet_to_long(self.sheet(years))

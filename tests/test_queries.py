@@ -11,11 +11,13 @@ from fixtures import as_set, balances, city, direct, head, ledger, loan
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from profitgrid import rules as R
 from profitgrid.operators import ledger as L
 from profitgrid.operators import weights as W
 from profitgrid.periods import Periods
 from profitgrid.plans import report
 from profitgrid.rules import FINANCE_COMPANY
+from profitgrid.sources import readers, sinks
 from profitgrid.sources.star import StarModel
 
 
@@ -69,6 +71,20 @@ def test_month_range_reaches_the_balance_scan(spark, tmp_path):
     assert "GreaterThanOrEqual(kpi_month,202301), LessThanOrEqual(kpi_month,202302)" in plan
 
 
+def test_stored_months_are_pruned(spark, tmp_path):
+    path, periods = str(tmp_path), Periods((2022, 2023), (2,))
+    rows = [head(1, 702000030001, 5), direct(2, 702000030001, "B", -7), direct(3, 702000030001, "B", 9)]
+    sinks.write_ledger(ledger(spark, rows), f"{path}/ledger")
+    stored = L.monthly_by_rule_key(readers.read_ledger(spark, f"{path}/ledger"), periods, FINANCE_COMPANY)
+    assert as_set(stored, "year", "month", "scope", "amount") == {(2023, 1, "HEAD", 5), (2023, 2, "B", -7)}
+    pruned = next(line for line in plan_of(stored).splitlines() if line.startswith("PartitionFilters"))
+    assert "year#" in pruned and "month#" in pruned
+    sinks.write_balances(balances(spark, [loan(1, "B", 5), loan(3, "B", 7)]), f"{path}/balances")
+    weights = W.balance_weights(readers.read_balances(spark, f"{path}/balances"), city(spark), periods, [R.BALANCE_ALL])
+    assert as_set(weights, "year", "area_cde", "amount") == {(2023, "B", 5.0)}
+    assert "kpi_month#" in next(line for line in plan_of(weights).splitlines() if line.startswith("PartitionFilters"))
+
+
 def test_large_dimensions_join_without_broadcast(spark, small):
     want = as_set(report.wide_report(StarModel(spark, small).frames(), Periods.of(1997, 12)), "*")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
