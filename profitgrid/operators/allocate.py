@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from profitgrid.functions.columns import HEAD
-from profitgrid.operators.weights import with_total
+from profitgrid.operators.weights import shares
 
 
 def with_pool(sums: DataFrame) -> DataFrame:
@@ -25,14 +25,14 @@ def with_pool(sums: DataFrame) -> DataFrame:
 
 
 def allocate(sums: DataFrame, weights: DataFrame) -> DataFrame:
-    """Split every pool of ``sums`` by its weight.
+    """Split every pool of ``sums`` by its weight (``weights`` with totals).
 
     Inner join: a region needs direct postings and a weight to appear, and the share of a region
     that has a weight only is lost (see ``residual``).
     """
     # Weights: at most six kinds x eight regions per report month, so always small enough to ship.
     regions = F.broadcast(
-        with_total(weights).select(
+        weights.select(
             "year", "month", "weight", "area_cde", F.col("amount").alias("w"), F.col("total").alias("w_total")
         )
     )
@@ -48,9 +48,7 @@ def residual(sums: DataFrame, weights: DataFrame) -> DataFrame:
     scopes = Window.partitionBy("year", "month", "metric")
     pool = F.max(F.when(F.col("scope") == HEAD, F.col("amount"))).over(scopes)
     regions = F.broadcast(
-        with_total(weights).select(
-            "year", "month", "weight", F.col("area_cde").alias("scope"), (F.col("amount") / F.col("total")).alias("share")
-        )
+        shares(weights).select("year", "month", "weight", F.col("area_cde").alias("scope"), "share")
     )
     allocated = F.coalesce(F.sum(F.col("pool") * F.col("share")), F.lit(0.0))
     return (

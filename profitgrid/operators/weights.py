@@ -105,6 +105,12 @@ def headcount_weights(sales: DataFrame, area: DataFrame, periods: Periods) -> Da
     )
 
 
+def with_total(weights: DataFrame) -> DataFrame:
+    """Add the total over all regions; at most eight rows share a total."""
+    regions = Window.partitionBy("year", "month", "weight")
+    return weights.withColumn("total", F.sum("amount").over(regions))
+
+
 def all_weights(
     balances: DataFrame,
     city: DataFrame,
@@ -113,25 +119,21 @@ def all_weights(
     periods: Periods,
     weights: set[str],
 ) -> DataFrame:
-    """The requested weights in one frame; a source that no weight needs is not read."""
+    """The requested weights with their totals; a source that no weight needs is not read.
+
+    Totals come before the union, while balance weights still are spread by year.
+    """
     parts = []
     of_balances = weights & set(R.BALANCE_WEIGHTS)
     if of_balances:
-        parts.append(balance_weights(balances, city, periods, of_balances))
+        parts.append(with_total(balance_weights(balances, city, periods, of_balances)))
     if R.HEADCOUNT in weights:
-        parts.append(headcount_weights(sales, area, periods))
+        parts.append(with_total(headcount_weights(sales, area, periods)))
     if not parts:
         raise ValueError(f"no weight of {sorted(weights)} comes from balances or the sales sheet")
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def with_total(weights: DataFrame) -> DataFrame:
-    """Add the total over all regions; at most eight rows share a total."""
-    regions = Window.partitionBy("year", "month", "weight")
-    return weights.withColumn("total", F.sum("amount").over(regions))
-
-
 def shares(weights: DataFrame) -> DataFrame:
-    """Share of each region in the total."""
-    share = F.col("amount") / F.nullif(F.col("total"), F.lit(0.0))
-    return with_total(weights).withColumn("share", share)
+    """Share of each region in the total, from weights with totals."""
+    return weights.withColumn("share", F.col("amount") / F.nullif(F.col("total"), F.lit(0.0)))

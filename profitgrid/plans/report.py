@@ -54,7 +54,8 @@ def interest_in_term_by_name(frames: Frames, periods: Periods, months: tuple[int
     monthly = L.monthly_by_rule_key(frames.ledger, periods, rules, letters=None).where(in_set)
     keys = F.col("kpi_month").isin(*[y * 100 + m for y in periods.years for m in months])
     balances = W.monthly_by_area(frames.balances, frames.city, keys, rules.weights)
-    values = A.allocate(L.year_to_date(monthly, periods, rules), W.over_report_months(balances, periods))
+    weights = W.with_total(W.over_report_months(balances, periods))
+    values = A.allocate(L.year_to_date(monthly, periods, rules), weights)
     best = Window.partitionBy("year", "month").orderBy(
         F.col("interest_in_term").desc_nulls_first(), "area_name"
     )

@@ -120,7 +120,7 @@ def test_headcount_needs_a_complete_january_whatever_the_month(spark):
 
 def test_shares_add_up_to_one(spark):
     every = W.balance_weights(balances(spark, BASIC_LOANS), city(spark), FEB, [R.BALANCE_ALL])
-    assert as_set(W.shares(every), "area_cde", "share") == {("B", 0.4), ("C", 0.6)}
+    assert as_set(W.shares(W.with_total(every)), "area_cde", "share") == {("B", 0.4), ("C", 0.6)}
 
 
 def test_one_account_may_feed_two_metrics(spark):
