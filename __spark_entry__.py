@@ -18,6 +18,7 @@ from pyspark.sql import functions as F  # noqa: E402
 import oracle  # noqa: E402
 from profitgrid import rules as R  # noqa: E402
 from profitgrid.operators import audit, dims, ledger, npl, reshape, sheet, weights  # noqa: E402
+from profitgrid.operators.balances import point_sums  # noqa: E402
 from profitgrid.periods import Periods  # noqa: E402
 from profitgrid.plans import report, scorecard  # noqa: E402
 from profitgrid.session import shared_folder  # noqa: E402
@@ -109,23 +110,23 @@ def ledger_ytd(spark: SparkSession, sf_dir: str) -> DataFrame:
 def balance_monthly_by_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = StarModel(spark, sf_dir)
     keys = ALL_MONTHS.keys("kpi_month")
-    return weights.monthly_by_area(model.balances, model.city, keys, [R.BALANCE_ALL]).drop("weight")
+    return weights.monthly_by_area(point_sums(model.balances), model.city, keys, [R.BALANCE_ALL]).drop("weight")
 
 
 def balance_by_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = StarModel(spark, sf_dir)
-    return weights.monthly_by_area(model.balances, model.city, ALL_MONTHS.keys("kpi_month"))
+    return weights.monthly_by_area(point_sums(model.balances), model.city, ALL_MONTHS.keys("kpi_month"))
 
 
 def balance_avg_of_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = StarModel(spark, sf_dir)
     kinds = [w for w in R.BALANCE_WEIGHTS if w != R.ACTIVATIONS]
-    return two_digits(weights.balance_weights(model.balances, model.city, ALL_MONTHS, kinds), "amount")
+    return two_digits(weights.balance_weights(point_sums(model.balances), model.city, ALL_MONTHS, kinds), "amount")
 
 
 def activation_count_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = StarModel(spark, sf_dir)
-    counts = weights.balance_weights(model.balances, model.city, ALL_MONTHS, [R.ACTIVATIONS])
+    counts = weights.balance_weights(point_sums(model.balances), model.city, ALL_MONTHS, [R.ACTIVATIONS])
     return counts.select("year", "month", "area_cde", F.col("amount").cast("long").alias("activations"))
 
 
@@ -138,7 +139,7 @@ def headcount_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
 def area_weight_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = StarModel(spark, sf_dir)
     every = weights.all_weights(
-        model.balances, model.city, model.sales, model.area, YEAR_END, LEVEL_1_RULES.weights
+        point_sums(model.balances), model.city, model.sales, model.area, YEAR_END, LEVEL_1_RULES.weights
     )
     return weights.shares(every).select("year", "month", "weight", "area_cde", F.round("share", 6).alias("share"))
 
@@ -276,7 +277,7 @@ def append_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _risk(spark: SparkSession, sf_dir: str, fan_out: bool = True) -> DataFrame:
     model = StarModel(spark, sf_dir)
-    return npl.risk_by_area(model.balances, model.city, ALL_MONTHS, fan_out)
+    return npl.risk_by_area(point_sums(model.balances), model.city, ALL_MONTHS, fan_out)
 
 
 def npl_balances(spark: SparkSession, sf_dir: str) -> DataFrame:

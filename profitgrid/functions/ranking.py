@@ -9,6 +9,8 @@ from operator import add, and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from profitgrid.session import stored_once
+
 VALUES_PER_TASK = 1_000_000
 
 
@@ -84,14 +86,14 @@ def add_ranks(
 
     ``row_bound`` is a checked upper limit of the rows per group. Up to ``values_per_task`` a plain
     window does; beyond it, or when unknown (None), the values are ranked in a table of their own
-    and joined back. The rows then are read several times and are stored once with ``checkpoint``.
+    and joined back. The rows then are read several times, so they are stored once.
     """
     if row_bound is not None and row_bound <= values_per_task:
         for rank in ranks:
             window = Window.partitionBy(*by).orderBy(rank.order())
             rows = rows.withColumn(rank.name, F.rank().over(window).cast("long"))
         return rows
-    rows = rows.checkpoint()
+    rows = stored_once(rows)
     ranked, parts = rows, -(-rows.count() // values_per_task)
     for rank in ranks:
         bucket = None

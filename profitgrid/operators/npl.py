@@ -5,51 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from profitgrid.operators.balances import RISKS
 from profitgrid.periods import Periods
 
 
-def risk_by_area(
-    balances: DataFrame, city: DataFrame, periods: Periods, fan_out: bool = True
-) -> DataFrame:
-    """The one pass: balances and write-off flows per month and region, bad loans and all loans.
+def risk_by_area(sums: DataFrame, city: DataFrame, periods: Periods, fan_out: bool = True) -> DataFrame:
+    """Balances and write-off flows per month and region, bad loans and all loans, from ``point_sums``.
 
-    Bad loans are those in bucket 3 or higher. A write-off counts in the month whose snapshot shows
-    it as written off. The report has always joined on the city, so a loan counts once per point of
-    sale of its city; ``fan_out=False`` joins on the point of sale instead. Either way balances are
-    summed first and a city's sums are multiplied by its number of points of sale.
+    The report has always joined on the city, so a loan counts once per point of sale of its city;
+    ``fan_out=False`` joins on the point of sale instead. Sums are multiplied by the number of
+    points of sale, so the join never makes copies of rows.
     """
-    bad = F.col("max_bucket") >= 3
-    flow = F.col("kpi_month") == F.col("write_off_month")
-    owed, written_off = F.col("outstanding_principal"), F.col("write_off_balance_principal")
     key = "pos_city" if fan_out else "pos_cde"
-    per_key = (
-        balances.where(periods.keys("kpi_month"))
-        .groupBy("kpi_month", key)
-        .agg(
-            F.count(F.when(bad, 1)).alias("rows_bad"),
-            F.sum(F.when(bad, owed)).alias("balance_bad"),
-            F.sum(owed).alias("balance_all"),
-            F.sum(F.when(flow & bad, written_off)).alias("flow_bad"),
-            F.sum(F.when(flow, written_off)).alias("flow_all"),
-        )
-    )
     points = city.groupBy(key, "area_cde").agg(F.count(F.lit(1)).alias("points"))
-    sums = [F.sum(F.col(c) * F.col("points")).alias(c) for c in ("balance_bad", "balance_all", "flow_bad", "flow_all")]
     return (
-        per_key.join(points, key)
-        .select(
+        sums.where(periods.keys("kpi_month"))
+        .join(points, key)
+        .groupBy(
             F.expr("cast(kpi_month div 100 as int)").alias("year"),
             (F.col("kpi_month") % 100).cast("int").alias("month"),
             "area_cde",
-            "rows_bad",
-            "points",
-            "balance_bad",
-            "balance_all",
-            "flow_bad",
-            "flow_all",
         )
-        .groupBy("year", "month", "area_cde")
-        .agg(F.sum("rows_bad").alias("rows_bad"), *sums)
+        .agg(*[F.sum(F.col(c) * F.col("points")).alias(c) for c in RISKS])
         .repartition("year")  # few rows from here on; later steps all group by year
     )
 

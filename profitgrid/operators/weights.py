@@ -8,43 +8,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from profitgrid import rules as R
-from profitgrid.functions.columns import bucket_or_1
 from profitgrid.operators.sheet import complete_january
 from profitgrid.periods import Periods
 
 
-def _rows_of(weight: str) -> Column:
-    """The balance rows that count for a weight. A missing bucket counts as 1."""
-    bucket = F.col("max_bucket")
-    return {
-        R.BALANCE_1: bucket_or_1() == 1,
-        R.BALANCE_2: bucket == 2,
-        R.BALANCE_2_TO_5: bucket.between(2, 5),
-        R.BALANCE_ALL: F.lit(True),
-        R.ACTIVATIONS: F.col("psdn") == 1,
-    }[weight]
-
-
 def monthly_by_area(
-    balances: DataFrame, city: DataFrame, keys: Column, weights: Iterable[str] = R.BALANCE_WEIGHTS
+    sums: DataFrame, city: DataFrame, keys: Column, weights: Iterable[str] = R.BALANCE_WEIGHTS
 ) -> DataFrame:
-    """The one pass over balances: (year, month, area_cde, weight, total), all weights at once.
+    """(year, month, area_cde, weight, total) from ``point_sums``, all weights in one pass.
 
-    Rows are summed per month and point of sale before the city dimension is joined, so the join
-    sees few rows however many loans a point of sale has. A region with no matching row in a month
-    has no row here; one whose matching rows hold only NULLs has a NULL total.
+    A region with no matching row in a month has no row here; one whose matching rows hold only
+    NULLs has a NULL total.
     """
     weights = sorted(weights)
-    sums = []
-    for weight in weights:
-        counted = _rows_of(weight)
-        value = F.lit(1) if weight == R.ACTIVATIONS else F.col("outstanding_principal")
-        sums.append(F.sum(F.when(counted, value)).alias(f"sum_{weight}"))
-        sums.append(F.count(F.when(counted, 1)).alias(f"rows_{weight}"))
-    per_point = balances.where(keys).groupBy("kpi_month", "pos_cde").agg(*sums)
     columns = [c for w in weights for c in (f"sum_{w}", f"rows_{w}")]
     per_area = (
-        per_point.join(city.select("pos_cde", "area_cde"), "pos_cde")
+        sums.where(keys)
+        .join(city.select("pos_cde", "area_cde"), "pos_cde")
         .select(
             F.expr("cast(kpi_month div 100 as int)").alias("year"),
             (F.col("kpi_month") % 100).cast("int").alias("month"),
@@ -86,9 +66,9 @@ def over_report_months(monthly: DataFrame, periods: Periods) -> DataFrame:
 
 
 def balance_weights(
-    balances: DataFrame, city: DataFrame, periods: Periods, weights: Iterable[str] = R.BALANCE_WEIGHTS
+    sums: DataFrame, city: DataFrame, periods: Periods, weights: Iterable[str] = R.BALANCE_WEIGHTS
 ) -> DataFrame:
-    monthly = monthly_by_area(balances, city, periods.keys("kpi_month"), weights)
+    monthly = monthly_by_area(sums, city, periods.keys("kpi_month"), weights)
     return over_report_months(monthly, periods)
 
 
@@ -112,7 +92,7 @@ def with_total(weights: DataFrame) -> DataFrame:
 
 
 def all_weights(
-    balances: DataFrame,
+    sums: DataFrame,
     city: DataFrame,
     sales: DataFrame,
     area: DataFrame,
@@ -126,7 +106,7 @@ def all_weights(
     parts = []
     of_balances = weights & set(R.BALANCE_WEIGHTS)
     if of_balances:
-        parts.append(with_total(balance_weights(balances, city, periods, of_balances)))
+        parts.append(with_total(balance_weights(sums, city, periods, of_balances)))
     if R.HEADCOUNT in weights:
         parts.append(with_total(headcount_weights(sales, area, periods)))
     if not parts:

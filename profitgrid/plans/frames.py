@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from profitgrid.operators.balances import point_sums
 from profitgrid.operators.dims import AREAS, HEAD_OFFICE
+from profitgrid.periods import Periods
 from profitgrid.rules import FINANCE_COMPANY, RuleBook
+from profitgrid.session import stored_once
 
 
 @dataclass(frozen=True)
@@ -28,3 +32,18 @@ class Frames:
     sales: DataFrame
     roster: DataFrame
     organisation: Organisation = Organisation()
+    sums: DataFrame | None = None
+
+    @property
+    def balance_sums(self) -> DataFrame:
+        """Balances per month and point of sale: stored ones, or computed from all rows."""
+        return point_sums(self.balances) if self.sums is None else self.sums
+
+    def stored(self, periods: Periods) -> Frames:
+        """Frames of the periods for a report that reads balances and the sheet more than once.
+
+        Sums per point of sale and the sheet's rows are stored, so each source is read once.
+        """
+        balances = self.balances.where(periods.keys("kpi_month"))
+        sales = self.sales.where(F.col("year").isin(*periods.years) & (F.col("month") <= periods.last))
+        return replace(self, sums=stored_once(point_sums(balances)), sales=stored_once(sales))

@@ -25,7 +25,7 @@ def _sums(frames: Frames, periods: Periods, rules: R.RuleBook) -> DataFrame:
 
 
 def _weights(frames: Frames, periods: Periods, weights: set[str]) -> DataFrame:
-    return W.all_weights(frames.balances, frames.city, frames.sales, frames.area, periods, weights)
+    return W.all_weights(frames.balance_sums, frames.city, frames.sales, frames.area, periods, weights)
 
 
 def allocated(frames: Frames, periods: Periods, metrics: Iterable[str] = R.LEVEL_1) -> DataFrame:
@@ -53,7 +53,7 @@ def interest_in_term_by_name(frames: Frames, periods: Periods, months: tuple[int
     in_set = F.col("month").isin(*months)
     monthly = L.monthly_by_rule_key(frames.ledger, periods, rules, letters=None).where(in_set)
     keys = F.col("kpi_month").isin(*[y * 100 + m for y in periods.years for m in months])
-    balances = W.monthly_by_area(frames.balances, frames.city, keys, rules.weights)
+    balances = W.monthly_by_area(frames.balance_sums, frames.city, keys, rules.weights)
     weights = W.with_total(W.over_report_months(balances, periods))
     values = A.allocate(L.year_to_date(monthly, periods, rules), weights)
     best = Window.partitionBy("year", "month").orderBy(

@@ -36,7 +36,7 @@ def kpi_ranks(
 
 
 def npl_by_area(frames: Frames, periods: Periods, fan_out: bool = True) -> DataFrame:
-    risk = npl.risk_by_area(frames.balances, frames.city, periods, fan_out)
+    risk = npl.risk_by_area(frames.balance_sums, frames.city, periods, fan_out)
     return npl.npl_ratio(risk, periods).select(
         month_key(F.col("year"), F.col("month")).alias("month_key"), F.col("area_cde").alias("area_code"), "npl"
     )
@@ -87,6 +87,7 @@ def scorecard(
     """
     month = Periods(periods.years, (periods.last,))
     row_bound = frames.roster.count()
+    frames = frames.stored(month)  # balances and sheet feed both the region report and the ranks
     finance = wide_report(frames, month).select(
         month_key(F.col("year"), F.col("month")).alias("month_key"), "area_name", *FINANCE
     )

@@ -1,11 +1,11 @@
-"""Session helper for local work, and the shared folder that jobs may write to."""
+"""Session helper for local work, and storage that jobs may share."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", app: str = "profitgrid") -> SparkSession:
@@ -34,3 +34,11 @@ def shared_folder(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="profitgrid-")
     return f"{base.rstrip('/')}/profitgrid-{uuid.uuid4().hex}"
+
+
+def stored_once(df: DataFrame) -> DataFrame:
+    """Store rows that several later steps read, so that a lost executor does not repeat their work."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()

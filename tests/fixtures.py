@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from profitgrid import rules as R
 from profitgrid import schemas
+from profitgrid.operators.balances import point_sums
 from profitgrid.plans.frames import Frames, Organisation
 from profitgrid.rules import MetricRule, RuleBook
 
@@ -48,6 +49,10 @@ def balances(spark: SparkSession, rows: list[tuple]) -> DataFrame:
     return spark.createDataFrame(rows, schemas.BALANCES)
 
 
+def sums(spark: SparkSession, rows: list[tuple]) -> DataFrame:
+    return point_sums(balances(spark, rows))
+
+
 def city(spark: SparkSession, areas: str = "ABCD", points: int = 1) -> DataFrame:
     rows = [(f"p{a}{i}", f"city {a}", a) for a in areas for i in range(1, points + 1)]
     return spark.createDataFrame(rows, schemas.CITY)

@@ -6,7 +6,6 @@ import pytest
 from fixtures import (
     ONE_METRIC,
     as_set,
-    balances,
     city,
     direct,
     frames,
@@ -16,6 +15,7 @@ from fixtures import (
     manager,
     posting,
     sales,
+    sums,
     area,
 )
 from profitgrid import rules as R
@@ -91,19 +91,19 @@ def test_zero_weights_give_null(spark):
 
 
 def test_bucket_rules(spark):
-    rows = balances(spark, [loan(1, "B", p, b) for p, b in ((1, None), (2, 1), (4, 2), (8, 3))])
+    rows = sums(spark, [loan(1, "B", p, b) for p, b in ((1, None), (2, 1), (4, 2), (8, 3))])
     got = W.monthly_by_area(rows, city(spark), FEB.keys("kpi_month"))
     totals = {weight: total for weight, total in as_set(got, "weight", "total")}
     assert totals == {R.BALANCE_1: 3, R.BALANCE_2: 4, R.BALANCE_2_TO_5: 12, R.BALANCE_ALL: 15}
 
 
 def test_null_balances_keep_the_region_with_a_null_weight(spark):
-    got = W.balance_weights(balances(spark, [loan(1, "B", None)]), city(spark), FEB, [R.BALANCE_ALL])
+    got = W.balance_weights(sums(spark, [loan(1, "B", None)]), city(spark), FEB, [R.BALANCE_ALL])
     assert as_set(got, "area_cde", "amount") == {("B", None)}
 
 
 def test_activations_add_up(spark):
-    rows = balances(spark, [loan(1, "B", 1, psdn=1), loan(1, "B", 1, psdn=0), loan(2, "B", 1, psdn=1), loan(2, "C", 1)])
+    rows = sums(spark, [loan(1, "B", 1, psdn=1), loan(1, "B", 1, psdn=0), loan(2, "B", 1, psdn=1), loan(2, "C", 1)])
     got = W.balance_weights(rows, city(spark), FEB, [R.ACTIVATIONS])
     assert as_set(got, "area_cde", "amount") == {("B", 2.0)}
 
@@ -119,7 +119,7 @@ def test_headcount_needs_a_complete_january_whatever_the_month(spark):
 
 
 def test_shares_add_up_to_one(spark):
-    every = W.balance_weights(balances(spark, BASIC_LOANS), city(spark), FEB, [R.BALANCE_ALL])
+    every = W.balance_weights(sums(spark, BASIC_LOANS), city(spark), FEB, [R.BALANCE_ALL])
     assert as_set(W.shares(W.with_total(every)), "area_cde", "share") == {("B", 0.4), ("C", 0.6)}
 
 

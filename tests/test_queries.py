@@ -14,6 +14,7 @@ import __spark_entry__ as entry
 from profitgrid import rules as R
 from profitgrid.operators import ledger as L
 from profitgrid.operators import weights as W
+from profitgrid.operators.balances import point_sums
 from profitgrid.periods import Periods
 from profitgrid.plans import report
 from profitgrid.rules import FINANCE_COMPANY
@@ -67,7 +68,7 @@ def test_period_accounts_and_prefixes_reach_the_ledger_scan(spark, tmp_path):
 def test_month_range_reaches_the_balance_scan(spark, tmp_path):
     path = str(tmp_path / "balances")
     balances(spark, [loan(1, "B", 5)]).write.parquet(path)
-    plan = plan_of(W.balance_weights(spark.read.parquet(path), city(spark), Periods.of(2023, 2)))
+    plan = plan_of(W.balance_weights(point_sums(spark.read.parquet(path)), city(spark), Periods.of(2023, 2)))
     assert "GreaterThanOrEqual(kpi_month,202301), LessThanOrEqual(kpi_month,202302)" in plan
 
 
@@ -80,7 +81,8 @@ def test_stored_months_are_pruned(spark, tmp_path):
     pruned = next(line for line in plan_of(stored).splitlines() if line.startswith("PartitionFilters"))
     assert "year#" in pruned and "month#" in pruned
     sinks.write_balances(balances(spark, [loan(1, "B", 5), loan(3, "B", 7)]), f"{path}/balances")
-    weights = W.balance_weights(readers.read_balances(spark, f"{path}/balances"), city(spark), periods, [R.BALANCE_ALL])
+    stored = point_sums(readers.read_balances(spark, f"{path}/balances"))
+    weights = W.balance_weights(stored, city(spark), periods, [R.BALANCE_ALL])
     assert as_set(weights, "year", "area_cde", "amount") == {(2023, "B", 5.0)}
     assert "kpi_month#" in next(line for line in plan_of(weights).splitlines() if line.startswith("PartitionFilters"))
 

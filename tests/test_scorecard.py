@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from fixtures import as_set, balances, city, frames, loan, manager, sales
+from fixtures import as_set, city, frames, loan, manager, sales, sums
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
@@ -25,7 +25,7 @@ def test_write_offs_cumulate_and_silent_months_are_zero(spark):
         loan(2, "B", 20, 4, written_off=(202302, 5)),
         loan(2, "B", 80, None),
     ]
-    risk = npl.risk_by_area(balances(spark, rows), city(spark), FEB)
+    risk = npl.risk_by_area(sums(spark, rows), city(spark), FEB)
     running = as_set(npl.running_write_off(risk).where("side = 'bad'"), "month", "balance", "written_off")
     assert running == {(1, 10, 0), (2, 20, 5)}
     means = npl.average_before_write_off(risk, FEB)
@@ -34,19 +34,19 @@ def test_write_offs_cumulate_and_silent_months_are_zero(spark):
 
 
 def test_write_off_of_another_month_does_not_count(spark):
-    risk = npl.risk_by_area(balances(spark, [loan(2, "B", 20, 3, written_off=(202301, 5))]), city(spark), FEB)
+    risk = npl.risk_by_area(sums(spark, [loan(2, "B", 20, 3, written_off=(202301, 5))]), city(spark), FEB)
     assert as_set(npl.zero_filled(risk), "flow_bad", "flow_all") == {(0, 0)}
 
 
 def test_loan_counts_once_per_point_of_sale_of_its_city(spark):
     points = city(spark, points=3)
-    rows = balances(spark, [loan(1, "B", 7, 3)])
+    rows = sums(spark, [loan(1, "B", 7, 3)])
     assert as_set(npl.risk_by_area(rows, points, FEB), "balance_all") == {(21,)}
     assert as_set(npl.risk_by_area(rows, points, FEB, fan_out=False), "balance_all") == {(7,)}
 
 
 def test_regions_without_bad_loans_have_no_ratio(spark):
-    risk = npl.risk_by_area(balances(spark, [loan(1, "B", 7, 1), loan(1, "C", 7, 3)]), city(spark), FEB)
+    risk = npl.risk_by_area(sums(spark, [loan(1, "B", 7, 1), loan(1, "C", 7, 3)]), city(spark), FEB)
     assert as_set(npl.npl_ratio(risk, FEB), "area_cde", "npl") == {("C", 100.0)}
 
 
