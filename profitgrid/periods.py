@@ -58,8 +58,8 @@ class Periods:
     def keys(self, column: str) -> Column:
         """The same for a ``yyyymm`` column."""
         test = F.lit(False)
-        for year in self.years:
-            test = test | F.col(column).between(year * 100 + 1, year * 100 + self.last)
+        for first, last in self._runs():
+            test = test | F.col(column).between(first * 100 + 1, last * 100 + self.last)
         return test
 
     def year_months(self) -> Column:

@@ -17,6 +17,7 @@ def local_session(cores: int | str = "*", app: str = "profitgrid") -> SparkSessi
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .getOrCreate()
     )
