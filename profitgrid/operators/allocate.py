@@ -50,7 +50,9 @@ def residual(sums: DataFrame, weights: DataFrame) -> DataFrame:
     regions = F.broadcast(
         shares(weights).select("year", "month", "weight", F.col("area_cde").alias("scope"), "share")
     )
-    allocated = F.coalesce(F.sum(F.col("pool") * F.col("share")), F.lit(0.0))
+    # Decimal, since a sum of doubles would depend on the order of the rows.
+    part = (F.col("pool") * F.col("share")).cast("decimal(38,6)")
+    allocated = F.coalesce(F.sum(part).cast("double"), F.lit(0.0))
     return (
         sums.withColumn("pool", pool.cast("double"))
         .join(regions, ["year", "month", "weight", "scope"], "left")

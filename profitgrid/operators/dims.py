@@ -171,14 +171,17 @@ def metric_ancestors(spark: SparkSession, tree: tuple[MetricNode, ...] = METRIC_
 
 
 def roll_up(leaf_amounts: DataFrame, keys: list[str]) -> DataFrame:
-    """Sum leaf amounts (``keys``, metric, amount) to every node of the metric tree."""
+    """Sum leaf amounts (``keys``, metric, amount) to every node of the metric tree.
+
+    Amounts are added as decimals, since a sum of doubles would depend on the order of the rows.
+    """
     spark = leaf_amounts.sparkSession
     pairs = F.broadcast(metric_ancestors(spark))  # as long as the tree
     dimension = F.broadcast(metric_dimension(spark))
     sums = (
         leaf_amounts.join(pairs, leaf_amounts["metric"] == pairs["leaf"])
         .groupBy(*keys, "ancestor")
-        .agg(F.sum("amount").alias("amount"))
+        .agg(F.sum(F.col("amount").cast("decimal(38,6)")).cast("double").alias("amount"))
     )
     return sums.join(dimension, sums["ancestor"] == dimension["funding_code"]).select(
         *keys, "funding_id", "funding_code", "funding_parent_id", "funding_level", "sortorder", "amount"

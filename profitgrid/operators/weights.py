@@ -86,8 +86,12 @@ def headcount_weights(sales: DataFrame, area: DataFrame, periods: Periods) -> Da
 
 
 def with_total(weights: DataFrame) -> DataFrame:
-    """Add the total over all regions; at most eight rows share a total."""
-    regions = Window.partitionBy("year", "month", "weight")
+    """Add the total over all regions; at most eight rows share a total.
+
+    Averages are added in the order of the letters, so that every run gives the same last digit.
+    """
+    whole = (Window.unboundedPreceding, Window.unboundedFollowing)
+    regions = Window.partitionBy("year", "month", "weight").orderBy("area_cde").rowsBetween(*whole)
     return weights.withColumn("total", F.sum("amount").over(regions))
 
 

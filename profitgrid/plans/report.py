@@ -96,9 +96,9 @@ def summary(frames: Frames, periods: Periods) -> DataFrame:
         .where(F.col("metrics") == len(R.LEVEL_1))
         .join(F.broadcast(frames.area), "area_cde")  # one row per letter
     )
-    card = _plus(R.CARD_INCOMES).cast("double")
-    total = (F.sum(card).over(months)) + F.sum("rev_business").over(months).cast("double")
-    with_total = level1.withColumn("card", card).withColumn("income", total)
+    card = _plus(R.CARD_INCOMES)
+    total = [F.sum(c.cast("decimal(38,0)")).over(months).cast("double") for c in (card, F.col("rev_business"))]
+    with_total = level1.withColumn("card", card.cast("double")).withColumn("income", total[0] + total[1])
     level2 = [
         F.when(F.col("income") == 0, F.lit(0.0))
         .otherwise(F.col(f"pool_{m}").cast("double") * F.col("card") / F.nullif("income", F.lit(0.0)))

@@ -47,7 +47,8 @@ def append_if_absent(
 ) -> DataFrame:
     """Add rows whose key is not stored yet and return the stored table.
 
-    A stored row never changes, even when its inputs have; see ``refresh``.
+    A stored row never changes, even when its inputs have; see ``refresh``. A failed run can be
+    repeated; two runs at the same time on one path cannot see each other's keys.
     """
     spark = batch.sparkSession
     key = key or SUMMARY_KEY
