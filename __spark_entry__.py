@@ -324,7 +324,8 @@ def _rounded_rates(rows: DataFrame) -> DataFrame:
 
 def asm_kpi_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every manager of the sheet, with NULL where a month is missing."""
-    return _rounded_rates(sheet.asm_averages(StarModel(spark, sf_dir).sales_of_all_months(YEARS), FEBRUARY))
+    sales = StarModel(spark, sf_dir).sales_of_all_months(YEARS, FEBRUARY.last)
+    return _rounded_rates(sheet.asm_averages(sales, FEBRUARY))
 
 
 def asm_kpi_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:

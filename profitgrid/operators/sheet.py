@@ -97,11 +97,12 @@ def asm_averages(sales: DataFrame, periods: Periods) -> DataFrame:
     )
 
 
-def monthly_sheet(sales: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """The wide sheet, one row per manager and year, from monthly rows."""
+def monthly_sheet(sales: DataFrame, keys: list[str] | None = None, months: int = 12) -> DataFrame:
+    """The wide sheet of the first months, one row per manager and year, from monthly rows."""
 
     def cell(measure: str, month: int) -> Column:
         return F.max(F.when(F.col("month") == month, F.col(measure)))
 
-    cells = [cell(c, i).alias(f"{c}_{m}") for i, m in enumerate(MONTHS, 1) for c in MEASURES]
-    return sales.groupBy(*(keys or ["area_name", "sale_name", "email", "year"])).agg(*cells)
+    cells = [cell(c, i).alias(f"{c}_{m}") for i, m in enumerate(MONTHS[:months], 1) for c in MEASURES]
+    keys = keys or ["area_name", "sale_name", "email", "year"]
+    return sales.where(F.col("month") <= months).groupBy(*keys).agg(*cells)

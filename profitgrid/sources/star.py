@@ -213,15 +213,15 @@ class StarModel:
             "area_name", "sale_name", "email", "year", "month", *MEASURES
         )
 
-    def sheet(self, years: tuple[int, ...]) -> DataFrame:
+    def sheet(self, years: tuple[int, ...], months: int = 12) -> DataFrame:
         """The wide sheet of the years: every manager, NULL where a month has no line."""
         each_year = F.explode(F.array(*[F.lit(y) for y in years]))
         managers = self._suppliers.withColumn("year", each_year).withColumnRenamed("s_suppkey", "l_suppkey")
-        cells = monthly_sheet(self._monthly_kpis, ["l_suppkey", "year"])
+        cells = monthly_sheet(self._monthly_kpis, ["l_suppkey", "year"], months)
         return managers.join(cells, ["l_suppkey", "year"], "left").drop("l_suppkey", "analysis_code")
 
-    def sales_of_all_months(self, years: tuple[int, ...]) -> DataFrame:
-        return sheet_to_long(self.sheet(years))
+    def sales_of_all_months(self, years: tuple[int, ...], months: int = 12) -> DataFrame:
+        return sheet_to_long(self.sheet(years, months))
 
     def frames(self) -> Frames:
         return Frames(self.ledger, self.balances, self.city, self.area, self.sales, self.roster, STAR)
