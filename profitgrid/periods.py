@@ -56,10 +56,14 @@ class Periods:
         return test
 
     def keys(self, column: str) -> Column:
-        """The same for a ``yyyymm`` column."""
-        test = F.lit(False)
-        for first, last in self._runs():
-            test = test | F.col(column).between(first * 100 + 1, last * 100 + self.last)
+        """The same for a ``yyyymm`` column: one range, which reaches the file scan, and the rest of
+        the test only where the range has gaps."""
+        first, last = self.years[0], self.years[-1]
+        test = F.col(column).between(first * 100 + 1, last * 100 + self.last)
+        if last > first and self.last < 12:
+            test = test & (F.col(column) % 100 <= self.last)
+        if last - first >= len(self.years):
+            test = test & F.expr(f"{column} div 100").isin(*self.years)
         return test
 
     def year_months(self) -> Column:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
+
 from fixtures import (
     ONE_METRIC,
     as_set,
@@ -182,3 +184,14 @@ def test_periods():
         Periods.of(2023, 0)
     with pytest.raises(ValueError):
         Periods.months_of(2023, 2, 1)
+
+
+def test_period_keys_and_dates_pick_the_same_months(spark):
+    days = spark.sql("SELECT explode(sequence(date'2018-12-01', date'2024-02-01', interval 1 month)) AS day").select(
+        "day", (F.year("day") * 100 + F.month("day")).alias("key"), F.year("day").alias("year"), F.month("day").alias("month")
+    )
+    for periods in (FEB, Periods((2020,), (12,)), Periods((2019, 2020, 2021), (3,)), Periods((2019, 2022), (12, 5)), Periods((2019, 2022), (4,))):
+        want = {(y * 100 + m,) for y in periods.years for m in range(1, periods.last + 1)}
+        assert as_set(days.where(periods.keys("key")), "key") == want
+        assert as_set(days.where(periods.dates("day")), "key") == want
+        assert as_set(days.where(periods.year_months()), "key") == want
