@@ -38,8 +38,11 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def stored_once(df: DataFrame) -> DataFrame:
-    """Store rows that several later steps read, so that a lost executor does not repeat their work."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    """Store rows that several later steps read, so that a lost executor does not repeat their work.
+
+    A Parquet table rather than a checkpoint: later steps read only the columns they use, and its
+    size tells Spark how to join it.
+    """
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
