@@ -61,6 +61,12 @@ CRITERIA_ONE_MONTH = (
     ("3.Chỉ số tài chính", None),
     *CRITERIA[21:],
 )
+# Display names of the wide report's columns that differ from the criteria above.
+DISPLAY_NAMES = {
+    "area_name": "tenkhuvuc",
+    "criterion": "Tiêu chí",
+    "headcount": "2. Số lượng nhân sự ( Sale Manager )",
+}
 NOT_TOTALLED = "Chỉ số tài chính"
 FRACTIONS = ("profit_before_tax", "net_fund_cost", "cost_fund_tt2", "cost_fund_cctg", "total_income")
 RATIOS = ("cir", "margin", "return_on_capital", "profit_per_head")

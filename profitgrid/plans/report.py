@@ -185,9 +185,9 @@ def in_month_order(report: DataFrame) -> DataFrame:
 
 
 def with_labels(report: DataFrame) -> DataFrame:
-    """Display names as column names."""
-    labels = {measure: label for label, measure in reshape.CRITERIA}
-    return report.select(*[F.col(c).alias(labels.get(c, c)) for c in report.columns])
+    """Display names as column names, of a wide or a pivoted report."""
+    labels = {measure: label for label, measure in reshape.CRITERIA} | reshape.DISPLAY_NAMES
+    return report.select(*[F.col(f"`{c}`").alias(labels.get(c, c)) for c in report.columns])
 
 
 def melted_report(frames: Frames, periods: Periods, criteria: reshape.Criteria = reshape.CRITERIA_ONE_MONTH) -> DataFrame:

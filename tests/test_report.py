@@ -190,7 +190,10 @@ def test_pivot_order_and_text(wide):
 
 
 def test_wide_report_with_display_names(wide):
-    assert report.with_labels(wide).columns[3] == "1.Lợi nhuận trước thuế"
+    names = report.with_labels(wide).columns
+    assert names[2:4] == ["tenkhuvuc", "1.Lợi nhuận trước thuế"] and len(set(names)) == 28
+    table = report.with_labels(reshape.pivot(reshape.melt(wide), ("north", "south")))
+    assert table.columns == ["year", "month", "Tiêu chí", "north", "south", "Total", "sort_pos"]
 
 
 def test_area_order_puts_unlisted_last(spark, wide):
