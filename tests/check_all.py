@@ -40,6 +40,9 @@ def ordered(columns: list[str], rows: list[tuple]) -> tuple[list[str], list[tupl
     return [columns[i] for i in places], sorted(keyed, key=lambda r: tuple(str(v) for v in r))
 
 
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+
+
 def compare(spark, con, folder: str, name: str) -> tuple[bool, str]:
     start = time.time()
     df = entry.queries()[name](spark, folder)
@@ -50,6 +53,10 @@ def compare(spark, con, folder: str, name: str) -> tuple[bool, str]:
     note = f"{len(got[1])} rows, {seconds:.1f} s"
     if got[0] != want[0]:
         return False, f"{note}: columns {got[0]} != {want[0]}"
+    described = con.execute("DESCRIBE " + entry.oracle_sql()[name]).fetchall()
+    types = {(c, TYPES.get(t, t)) for c, t in df.dtypes} ^ {(row[0], row[1]) for row in described}
+    if types:
+        return False, f"{note}: types differ in {sorted(types)}"
     if len(got[1]) != len(want[1]):
         return False, f"{note}: {len(want[1])} rows wanted"
     wrong = [(g, w) for g, w in zip(got[1], want[1]) if g != w]
