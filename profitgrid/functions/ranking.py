@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 from operator import add, and_
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,12 +38,22 @@ def quantile_bucket(df: DataFrame, column: str, buckets: int) -> Column:
     """Bucket number that grows with the column; about equally many rows in each.
 
     Runs one job and brings ``buckets - 1`` split points to the driver. Any split points give right
-    ranks; approximate ones only make buckets less even.
+    ranks; approximate ones only make buckets less even. A value is compared with the last point of
+    each group of points and then with its own group, so thousands of buckets stay cheap.
     """
     points = [i / buckets for i in range(1, buckets)]
     splits = sorted(set(df.approxQuantile(column, points, 0.25 / buckets))) if points else []
-    limits = F.array(*[F.lit(s) for s in splits]).cast("array<double>")
-    return F.size(F.filter(limits, lambda s: s < F.col(column)))
+    if not splits:
+        return F.lit(0)
+    size = math.isqrt(len(splits)) + 1
+    groups = [splits[i : i + size] for i in range(0, len(splits), size)]
+    lasts = F.lit(np.array([group[-1] for group in groups]))
+    members = F.array(*[F.lit(np.array(group)) for group in [*groups, [math.inf]]])
+
+    def below(points_of_group: Column) -> Column:
+        return F.size(F.filter(points_of_group, lambda point: point < F.col(column)))
+
+    return below(lasts) * size + below(F.get(members, below(lasts)))
 
 
 def width_bucket(column: str, width: int) -> Column:

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from profitgrid.functions.ranking import Rank, add_ranks, rank_sum
+from profitgrid.functions.ranking import Rank, add_ranks, quantile_bucket, rank_sum
 from profitgrid.operators import npl
 from profitgrid.operators.sheet import asm_averages, monthly_sheet, sheet_to_long
 from profitgrid.periods import Periods
@@ -102,6 +102,15 @@ def test_rank_by_value_ranges_equals_a_plain_window(spark, rows, descending, spr
     assert as_set(got, "id", "r") == want
 
 
+@pytest.mark.parametrize("buckets", [1, 2, 3, 10, 50, 400])
+def test_buckets_grow_with_the_value(spark, buckets):
+    df = spark.range(1000).select(((F.col("id") * 619 % 1000) / 7).alias("v"))
+    rows = df.select("v", quantile_bucket(df, "v", buckets).alias("b")).orderBy("v").collect()
+    numbers_ = [r["b"] for r in rows]
+    assert numbers_ == sorted(numbers_) and len(set(numbers_)) > buckets * 0.9
+    assert max(numbers_.count(b) for b in set(numbers_)) <= 3 * 1000 / buckets + 2
+
+
 def test_rank_of_whole_numbers_by_width(spark):
     df = spark.range(100).select("id", F.lit(1).alias("g"), (F.col("id") * 37 % 50 - 25).alias("v"))
     want = as_set(df.withColumn("r", F.rank().over(Window.partitionBy("g").orderBy("v")).cast("long")), "id", "r")
