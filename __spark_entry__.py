@@ -25,6 +25,12 @@ from profitgrid.session import shared_folder  # noqa: E402
 from profitgrid.sources import sinks  # noqa: E402
 from profitgrid.sources.star import STAR_RULES, StarModel  # noqa: E402
 
+try:
+    import corpus_pipeline
+    from profitgrid.llm import queries as llm
+except ImportError:
+    llm = None
+
 YEARS = tuple(range(1995, 2002))  # all years of the tables
 YEAR_END = Periods(YEARS, (12,))
 FEBRUARY = Periods(YEARS, (2,))
@@ -358,8 +364,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         npl_before_writeoff_avg, npl_ratio,
         asm_kpi_avg, asm_kpi_ranks, asm_npl_report, asm_scorecard, rank_sum_generic,
     ]
-    return {q.__name__: q for q in plain} | {metric: level1_metric(metric) for metric in R.LEVEL_1}
+    ours = {q.__name__: q for q in plain} | {metric: level1_metric(metric) for metric in R.LEVEL_1}
+    return ours | (llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    return oracle.statements() | (llm.oracle_sql() if llm else {})
