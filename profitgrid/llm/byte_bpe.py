@@ -25,7 +25,7 @@ LATER_LETTERS = (
 # Bytes that stand for themselves in the vocabulary's printable alphabet.
 PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 
-CACHED_WORDS = 200_000
+CACHED_WORDS = 400_000
 CACHED_LENGTH = 100
 
 
@@ -114,16 +114,24 @@ def load(path: str) -> ByteBpe:
 
 
 class WordCache(dict):
-    """Word -> what ``compute`` makes of it. Long words are not kept, and a full cache starts anew."""
+    """Word -> what ``compute`` makes of it. Long words are not kept.
+
+    A full cache becomes the old generation and a new one begins; words that come up again move over, so
+    frequent words stay and memory is bounded by two generations.
+    """
 
     def __init__(self, compute) -> None:
         super().__init__()
         self.compute = compute
+        self.old: dict = {}
 
     def __missing__(self, word: str):
-        made = self.compute(word)
+        made = self.old.get(word)
+        if made is None:
+            made = self.compute(word)
         if len(word) <= CACHED_LENGTH:
             if len(self) >= CACHED_WORDS:
+                self.old = dict(self)
                 self.clear()
             self[word] = made
         return made

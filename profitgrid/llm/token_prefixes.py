@@ -39,17 +39,25 @@ class PrefixCounter:
         self.bpe = byte_bpe.load(path)
         self.words = byte_bpe.WordCache(self._word)
         self._apart: dict[tuple[int, int], bool] = {}
+        self._whole: dict[int, bool] = {}
 
     def _stay_apart(self, left: int, right: int) -> bool:
         found = self._apart.get((left, right))
         if found is None:
-            if len(self._apart) >= 5 * byte_bpe.CACHED_WORDS:
+            if len(self._apart) >= byte_bpe.CACHED_WORDS:
                 self._apart.clear()
             strings = self.bpe.token_bytes
             found = self.bpe.merged(strings[left] + strings[right]) == [left, right]
             self._apart[left, right] = found
         return found
 
+    def _is_whole(self, token: int) -> bool:
+        """Whether the bytes of a token are encoded as that token."""
+        found = self._whole.get(token)
+        if found is None:
+            found = self._whole[token] = self.bpe.merged(self.bpe.token_bytes[token]) == [token]
+        return found
+
     def of_word(self, word: bytes) -> list[int]:
         """Number of tokens of word[:1], word[:2], ... word."""
         n, token, longest = len(word), self.bpe.id_of.get, self.bpe.longest
@@ -59,7 +67,7 @@ class PrefixCounter:
                 t = token(word[start:end])
                 if t is None:
                     continue
-                if self._stay_apart(last[start], t) if start else self.bpe.merged(word[:end]) == [t]:
+                if self._stay_apart(last[start], t) if start else self._is_whole(t):
                     last[end], counts[end] = t, counts[start] + 1
                     break
         return counts[1:]
