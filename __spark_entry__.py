@@ -31,10 +31,9 @@ try:
 except ImportError:
     llm = None
 
-YEARS = tuple(range(1995, 2002))  # all years of the tables
-YEAR_END = Periods(YEARS, (12,))
-FEBRUARY = Periods(YEARS, (2,))
-ALL_MONTHS = Periods(YEARS, tuple(range(1, 13)))
+YEAR_END = (12,)
+FEBRUARY = (2,)
+ALL_MONTHS = tuple(range(1, 13))
 
 LEVEL_1_RULES = STAR_RULES.only(R.LEVEL_1)
 
@@ -62,7 +61,8 @@ def src_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def src_sales_kpi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return StarModel(spark, sf_dir).sales_of_all_months(YEARS)
+    model = StarModel(spark, sf_dir)
+    return model.sales_of_all_months(model.years).drop("manager")
 
 
 def dim_city_build(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,11 +91,13 @@ def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ledger_head_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledger.head_pool(StarModel(spark, sf_dir).ledger, YEAR_END, STAR_RULES)
+    model = StarModel(spark, sf_dir)
+    return ledger.head_pool(model.ledger, Periods(model.years, YEAR_END), STAR_RULES)
 
 
 def ledger_direct_by_area(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledger.direct_by_area(StarModel(spark, sf_dir).ledger, YEAR_END, STAR_RULES)
+    model = StarModel(spark, sf_dir)
+    return ledger.direct_by_area(model.ledger, Periods(model.years, YEAR_END), STAR_RULES)
 
 
 def ledger_account_set_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +109,8 @@ def ledger_account_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ledger_ytd(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledger.ledger_year_to_date(StarModel(spark, sf_dir).ledger, ALL_MONTHS)
+    model = StarModel(spark, sf_dir)
+    return ledger.ledger_year_to_date(model.ledger, Periods(model.years, ALL_MONTHS))
 
 
 # Weights
@@ -115,37 +118,37 @@ def ledger_ytd(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def balance_monthly_by_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = StarModel(spark, sf_dir)
-    keys = ALL_MONTHS.keys("kpi_month")
+    keys = Periods(model.years, ALL_MONTHS).keys("kpi_month")
     return weights.monthly_by_area(point_sums(model.balances), model.city, keys, [R.BALANCE_ALL]).drop("weight")
 
 
 def balance_by_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = StarModel(spark, sf_dir)
-    return weights.monthly_by_area(point_sums(model.balances), model.city, ALL_MONTHS.keys("kpi_month"))
+    return weights.monthly_by_area(point_sums(model.balances), model.city, Periods(model.years, ALL_MONTHS).keys("kpi_month"))
 
 
 def balance_avg_of_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = StarModel(spark, sf_dir)
     kinds = [w for w in R.BALANCE_WEIGHTS if w != R.ACTIVATIONS]
-    return two_digits(weights.balance_weights(point_sums(model.balances), model.city, ALL_MONTHS, kinds), "amount")
+    return two_digits(weights.balance_weights(point_sums(model.balances), model.city, Periods(model.years, ALL_MONTHS), kinds), "amount")
 
 
 def activation_count_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = StarModel(spark, sf_dir)
-    counts = weights.balance_weights(point_sums(model.balances), model.city, ALL_MONTHS, [R.ACTIVATIONS])
+    counts = weights.balance_weights(point_sums(model.balances), model.city, Periods(model.years, ALL_MONTHS), [R.ACTIVATIONS])
     return counts.select("year", "month", "area_cde", F.col("amount").cast("long").alias("activations"))
 
 
 def headcount_weight(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = StarModel(spark, sf_dir)
-    counts = weights.headcount_weights(model.sales, model.area, YEAR_END)
+    counts = weights.headcount_weights(model.sales, model.area, Periods(model.years, YEAR_END))
     return counts.select("year", "month", "area_cde", F.col("amount").cast("long").alias("headcount"))
 
 
 def area_weight_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = StarModel(spark, sf_dir)
     every = weights.all_weights(
-        point_sums(model.balances), model.city, model.sales, model.area, YEAR_END, LEVEL_1_RULES.weights
+        point_sums(model.balances), model.city, model.sales, model.area, Periods(model.years, YEAR_END), LEVEL_1_RULES.weights
     )
     return weights.shares(every).select("year", "month", "weight", "area_cde", F.round("share", 6).alias("share"))
 
@@ -160,14 +163,16 @@ def asm_complete_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def asm_complete_all_months(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sheet.complete_through(StarModel(spark, sf_dir).sales, FEBRUARY)
+    model = StarModel(spark, sf_dir)
+    return sheet.complete_through(model.sales, Periods(model.years, FEBRUARY))
 
 
 # Allocation and level 1
 
 
 def pool_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = report.allocated(StarModel(spark, sf_dir).frames(), YEAR_END)
+    model = StarModel(spark, sf_dir)
+    rows = report.allocated(model.frames(), Periods(model.years, YEAR_END))
     return two_digits(
         rows.select("metric", "year", "month", "area_cde", "direct", "pool", "allocated", "value"),
         "allocated",
@@ -176,58 +181,68 @@ def pool_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def allocation_residual(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = report.allocation_residual(StarModel(spark, sf_dir).frames(), YEAR_END)
+    model = StarModel(spark, sf_dir)
+    rows = report.allocation_residual(model.frames(), Periods(model.years, YEAR_END))
     return two_digits(rows, "pool", "allocated", "residual")
 
 
 def level1_metric(metric: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return two_digits(report.level1_metric(StarModel(spark, sf_dir).frames(), YEAR_END, metric), metric)
+        model = StarModel(spark, sf_dir)
+        return two_digits(report.level1_metric(model.frames(), Periods(model.years, YEAR_END), metric), metric)
 
     return run
 
 
 def interest_in_term_adhoc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.interest_in_term_by_name(StarModel(spark, sf_dir).frames(), FEBRUARY, (1, 2))
+    model = StarModel(spark, sf_dir)
+    return report.interest_in_term_by_name(model.frames(), Periods(model.years, FEBRUARY), (1, 2))
 
 
 def level1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.level1_report(StarModel(spark, sf_dir).frames(), YEAR_END)
+    model = StarModel(spark, sf_dir)
+    return report.level1_report(model.frames(), Periods(model.years, YEAR_END))
 
 
 # Level 2 and reports
 
 
 def cost_of_funds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = report.summary(StarModel(spark, sf_dir).frames(), YEAR_END)
+    model = StarModel(spark, sf_dir)
+    rows = report.summary(model.frames(), Periods(model.years, YEAR_END))
     return two_digits(rows.select("year", "month", "area_name", *R.LEVEL_2), *R.LEVEL_2)
 
 
 def aggregate_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frames = StarModel(spark, sf_dir).frames()
-    rows = report.aggregates(report.summary(frames, YEAR_END), frames)
+    model = StarModel(spark, sf_dir)
+    frames = model.frames()
+    rows = report.aggregates(report.summary(frames, Periods(model.years, YEAR_END)), frames)
     whole = ["card_income", "net_other", "total_cost", "headcount"]
     exact = ["net_fund_cost", "total_income", "profit_before_tax"]
     return two_digits(rows.select("year", "month", "area_name", *whole, *exact), *exact)
 
 
 def ratio_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.measures(StarModel(spark, sf_dir).frames(), YEAR_END).select(
+    model = StarModel(spark, sf_dir)
+    return report.measures(model.frames(), Periods(model.years, YEAR_END)).select(
         "year", "month", "area_name", *reshape.RATIOS
     )
 
 
 def wide_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frames = StarModel(spark, sf_dir).frames()
-    return report.in_area_order(report.wide_report(frames, YEAR_END), frames)
+    model = StarModel(spark, sf_dir)
+    frames = model.frames()
+    return report.in_area_order(report.wide_report(frames, Periods(model.years, YEAR_END)), frames)
 
 
 def multi_month_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.in_month_order(report.wide_report(StarModel(spark, sf_dir).frames(), ALL_MONTHS))
+    model = StarModel(spark, sf_dir)
+    return report.in_month_order(report.wide_report(model.frames(), Periods(model.years, ALL_MONTHS)))
 
 
 def melt_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return two_digits(report.melted_report(StarModel(spark, sf_dir).frames(), YEAR_END), "value")
+    model = StarModel(spark, sf_dir)
+    return two_digits(report.melted_report(model.frames(), Periods(model.years, YEAR_END)), "value")
 
 
 def _numeric_cells(table: DataFrame) -> DataFrame:
@@ -236,16 +251,19 @@ def _numeric_cells(table: DataFrame) -> DataFrame:
 
 
 def pivot_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _numeric_cells(report.pivot_report(StarModel(spark, sf_dir).frames(), YEAR_END))
+    model = StarModel(spark, sf_dir)
+    return _numeric_cells(report.pivot_report(model.frames(), Periods(model.years, YEAR_END)))
 
 
 def multi_month_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _numeric_cells(report.pivot_report(StarModel(spark, sf_dir).frames(), ALL_MONTHS, reshape.CRITERIA))
+    model = StarModel(spark, sf_dir)
+    return _numeric_cells(report.pivot_report(model.frames(), Periods(model.years, ALL_MONTHS), reshape.CRITERIA))
 
 
 def metric_hierarchy_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    frames = StarModel(spark, sf_dir).frames()
-    rows = report.aggregates(report.summary(frames, YEAR_END), frames)
+    model = StarModel(spark, sf_dir)
+    frames = model.frames()
+    rows = report.aggregates(report.summary(frames, Periods(model.years, YEAR_END)), frames)
     leaves = [*R.LEVEL_1, *R.LEVEL_2]
     long = rows.unpivot(
         report.KEY, [F.col(c).cast("double").alias(c) for c in leaves], "metric", "amount"
@@ -254,7 +272,8 @@ def metric_hierarchy_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def region_revenue_share(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report.revenue_shares(StarModel(spark, sf_dir).frames(), YEAR_END)
+    model = StarModel(spark, sf_dir)
+    return report.revenue_shares(model.frames(), Periods(model.years, YEAR_END))
 
 
 # Sinks
@@ -262,16 +281,18 @@ def region_revenue_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sink_overwrite_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two full refreshes: what remains is the second one."""
-    frames, path = StarModel(spark, sf_dir).frames(), shared_folder(spark)
-    sinks.overwrite(report.wide_report(frames, FEBRUARY), path)
-    return sinks.overwrite(report.wide_report(frames, YEAR_END), path)
+    model = StarModel(spark, sf_dir)
+    frames, path = model.frames(), shared_folder(spark)
+    sinks.overwrite(report.wide_report(frames, Periods(model.years, FEBRUARY)), path)
+    return sinks.overwrite(report.wide_report(frames, Periods(model.years, YEAR_END)), path)
 
 
 def append_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two appends: the second repeats June with other amounts, which stay out, and adds December."""
-    frames, path = StarModel(spark, sf_dir).frames(), shared_folder(spark)
-    first = report.summary(frames, Periods(YEARS, (6,)))
-    second = report.summary(frames, Periods(YEARS, (6, 12)))
+    model = StarModel(spark, sf_dir)
+    frames, path = model.frames(), shared_folder(spark)
+    first = report.summary(frames, Periods(model.years, (6,)))
+    second = report.summary(frames, Periods(model.years, (6, 12)))
     second = second.withColumns({m: F.col(m) + 1 for m in R.LEVEL_1})
     sinks.append_if_absent(first, path, partition_by=["year", "month"])
     stored = sinks.append_if_absent(second, path, partition_by=["year", "month"])
@@ -283,7 +304,7 @@ def append_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _risk(spark: SparkSession, sf_dir: str, fan_out: bool = True) -> DataFrame:
     model = StarModel(spark, sf_dir)
-    return npl.risk_by_area(point_sums(model.balances), model.city, ALL_MONTHS, fan_out)
+    return npl.risk_by_area(point_sums(model.balances), model.city, Periods(model.years, ALL_MONTHS), fan_out)
 
 
 def npl_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,11 +334,13 @@ def writeoff_running_total(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def npl_before_writeoff_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return two_digits(npl.average_before_write_off(_risk(spark, sf_dir), ALL_MONTHS), "avg_bad", "avg_all")
+    model = StarModel(spark, sf_dir)
+    return two_digits(npl.average_before_write_off(_risk(spark, sf_dir), Periods(model.years, ALL_MONTHS)), "avg_bad", "avg_all")
 
 
 def npl_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return npl.npl_ratio(_risk(spark, sf_dir), ALL_MONTHS).withColumn("npl", F.round("npl", 6))
+    model = StarModel(spark, sf_dir)
+    return npl.npl_ratio(_risk(spark, sf_dir), Periods(model.years, ALL_MONTHS)).withColumn("npl", F.round("npl", 6))
 
 
 # Scorecard
@@ -330,24 +353,29 @@ def _rounded_rates(rows: DataFrame) -> DataFrame:
 
 def asm_kpi_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every manager of the sheet, with NULL where a month is missing."""
-    sales = StarModel(spark, sf_dir).sales_of_all_months(YEARS, FEBRUARY.last)
-    return _rounded_rates(sheet.asm_averages(sales, FEBRUARY))
+    model = StarModel(spark, sf_dir)
+    sales = model.sales_of_all_months(model.years, FEBRUARY[-1])
+    return _rounded_rates(sheet.asm_averages(sales, Periods(model.years, FEBRUARY)))
 
 
 def asm_kpi_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded_rates(scorecard.kpi_ranks(StarModel(spark, sf_dir).frames(), FEBRUARY))
+    model = StarModel(spark, sf_dir)
+    return _rounded_rates(scorecard.kpi_ranks(model.frames(), Periods(model.years, FEBRUARY)))
 
 
 def asm_npl_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded_rates(scorecard.asm_npl_report(StarModel(spark, sf_dir).frames(), FEBRUARY))
+    model = StarModel(spark, sf_dir)
+    return _rounded_rates(scorecard.asm_npl_report(model.frames(), Periods(model.years, FEBRUARY)))
 
 
 def asm_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded_rates(scorecard.scorecard(StarModel(spark, sf_dir).frames(), FEBRUARY))
+    model = StarModel(spark, sf_dir)
+    return _rounded_rates(scorecard.scorecard(model.frames(), Periods(model.years, FEBRUARY)))
 
 
 def rank_sum_generic(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded_rates(scorecard.kpi_rank_sum(StarModel(spark, sf_dir).frames(), FEBRUARY))
+    model = StarModel(spark, sf_dir)
+    return _rounded_rates(scorecard.kpi_rank_sum(model.frames(), Periods(model.years, FEBRUARY)))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -10,7 +10,9 @@ from profitgrid import rules as R
 from profitgrid.operators import dims, reshape
 from profitgrid.sources.star import STAR, STAR_RULES
 
-YEARS = "SELECT unnest(range(1995, 2002)) AS year"
+YEARS = """SELECT unnest(range(low, high + 1)) AS year FROM (
+  SELECT min(y) AS low, max(y) AS high FROM (
+    SELECT year(l_shipdate) AS y FROM lineitem UNION ALL SELECT year(o_orderdate) FROM orders))"""
 
 
 def _periods(months: str) -> str:
@@ -33,8 +35,8 @@ LEDGER = f"""{NATIONS}, ledger AS (
       cast(80 + l_linenumber AS bigint) * 10000000000 + l_partkey % 5 AS account_code,
       80 + l_linenumber >= 84 OR (80 + l_linenumber = 83 AND l_partkey % 5 >= 3) AS cost,
       cast(round(l_extendedprice * 100) AS bigint) AS cents,
-      CASE WHEN letter = 'A' THEN 'HEAD' || lpad(cast(l_suppkey AS varchar), 4, '0')
-        ELSE 'DVML' || lpad(cast(l_suppkey AS varchar), 4, '0') || letter END AS analysis_code
+      CASE WHEN letter = 'A' THEN 'HEAD0000' || cast(l_suppkey AS varchar)
+        ELSE 'DVML0000' || letter || cast(l_suppkey AS varchar) END AS analysis_code
     FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nations ON s_nationkey = n_nationkey))"""
 
 BALANCES = f"""{NATIONS}, balances AS (

@@ -88,23 +88,13 @@ def rank_table(df: DataFrame, by: list[str], rank: Rank, bucket: Column | None =
 
 
 def add_ranks(
-    rows: DataFrame,
-    by: list[str],
-    ranks: list[Rank],
-    row_bound: int | None,
-    values_per_task: int = VALUES_PER_TASK,
+    rows: DataFrame, by: list[str], ranks: list[Rank], values_per_task: int = VALUES_PER_TASK
 ) -> DataFrame:
     """Add ``rank() over (partition by <by> order by <column>)`` for each of ``ranks``.
 
-    ``row_bound`` is a checked upper limit of the rows per group. Up to ``values_per_task`` a plain
-    window does; beyond it, or when unknown (None), the values are ranked in a table of their own
-    and joined back. The rows then are read several times, so they are stored once.
+    Whatever the number of rows, the values are ranked in a table of their own, in buckets of about
+    ``values_per_task``, and joined back. The rows are read several times, so they are stored once.
     """
-    if row_bound is not None and row_bound <= values_per_task:
-        for rank in ranks:
-            window = Window.partitionBy(*by).orderBy(rank.order())
-            rows = rows.withColumn(rank.name, F.rank().over(window).cast("long"))
-        return rows
     rows = stored_once(rows)
     ranked, parts = rows, -(-rows.count() // values_per_task)
     for rank in ranks:
@@ -125,9 +115,8 @@ def rank_sum(
     by: list[str],
     score: str,
     ranks: list[Rank],
-    row_bound: int | None,
     values_per_task: int = VALUES_PER_TASK,
 ) -> DataFrame:
     """Add the ranks and their sum as ``score``; the lowest score is best."""
-    ranked = add_ranks(rows, by, ranks, row_bound, values_per_task)
+    ranked = add_ranks(rows, by, ranks, values_per_task)
     return ranked.withColumn(score, reduce(add, [F.col(r.name) for r in ranks]))

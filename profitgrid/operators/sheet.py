@@ -14,14 +14,18 @@ from profitgrid.periods import Periods
 # Months in column names of the wide sheet, January first.
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 MEASURES = ("ltn", "psdn", "approve", "app_in", "approval_rate")
+MANAGER = "manager"  # names a row of the wide sheet; names and e-mails may repeat or be missing
 COMPLETE = ("ltn", "approve", "app_in", "approval_rate")
 
 
 def sheet_to_long(sheet: DataFrame, year: Column | None = None) -> DataFrame:
     """One row per manager and month from a sheet with a column per measure and month.
 
-    Months that the sheet has no columns for are left out; ``year`` defaults to the sheet's column.
+    Months that the sheet has no columns for are left out; ``year`` defaults to the sheet's column. Rows
+    without a ``manager`` column get a number each, so that two managers with one e-mail stay two.
     """
+    if MANAGER not in sheet.columns:
+        sheet = sheet.withColumn(MANAGER, F.monotonically_increasing_id())
     present = [m for m in MONTHS if f"ltn_{m}" in sheet.columns]
     cells = [
         F.struct(
@@ -34,12 +38,18 @@ def sheet_to_long(sheet: DataFrame, year: Column | None = None) -> DataFrame:
         for m in present
     ]
     return sheet.select(
+        MANAGER,
         "area_name",
         "sale_name",
         "email",
         (F.col("year") if year is None else year).alias("year"),
         F.explode(F.array(*cells)).alias("cell"),
-    ).select("area_name", "sale_name", "email", "year", "cell.*")
+    ).select(MANAGER, "area_name", "sale_name", "email", "year", "cell.*")
+
+
+def _row_of(sales: DataFrame) -> list[str]:
+    """What names a manager: the sheet's row, or all of its texts in monthly rows without it."""
+    return [MANAGER] if MANAGER in sales.columns else []
 
 
 def complete_january(sales: DataFrame) -> DataFrame:
@@ -55,7 +65,7 @@ def complete_through(sales: DataFrame, periods: Periods) -> DataFrame:
     complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in COMPLETE])
     return (
         sales.where(periods.year_months())
-        .groupBy("year", "area_name", "sale_name", "email")
+        .groupBy("year", *_row_of(sales), "area_name", "sale_name", "email")
         .agg(F.bool_and(complete).alias("complete"), F.count("month").alias("months"))
         .where(F.col("complete") & (F.col("months") == periods.last))
         .select("year", "area_name", "sale_name", "email")
@@ -80,7 +90,7 @@ def asm_averages(sales: DataFrame, periods: Periods) -> DataFrame:
 
     return (
         sales.where(periods.year_months())
-        .groupBy("year", "area_name", "email")
+        .groupBy("year", *_row_of(sales), "area_name", "sale_name", "email")
         .agg(
             (months_of("ltn") / periods.last).alias("ltn_avg"),
             (months_of("psdn") / periods.last).alias("psdn_avg"),

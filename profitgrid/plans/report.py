@@ -82,6 +82,9 @@ def summary(frames: Frames, periods: Periods) -> DataFrame:
     }
     for metric, pool in pools.items():
         sums = sums.withColumn(f"pool_{metric}", pool)
+    missing = set(R.LEVEL_1) - {r.metric for r in rules.rules}
+    if missing:
+        raise ValueError(f"the rule book lacks {sorted(missing)}")
     level1_rules = rules.only(R.LEVEL_1)
     values = A.allocate(
         sums.where(F.col("metric").isin(*R.LEVEL_1)), _weights(frames, periods, level1_rules.weights)

@@ -21,18 +21,16 @@ FINANCE = ("cir", "margin", "return_on_capital", "profit_per_head")
 
 
 def kpi_ranks(
-    frames: Frames, periods: Periods, row_bound: int | None = None, values_per_task: int = VALUES_PER_TASK
+    frames: Frames, periods: Periods, values_per_task: int = VALUES_PER_TASK
 ) -> DataFrame:
     """Managers with all three KPIs, each KPI ranked within the month, highest first."""
-    if row_bound is None:
-        row_bound = frames.roster.count()
     rows = (
         asm_averages(frames.sales, periods)
         .dropna(subset=list(KPIS))
         .join(F.broadcast(frames.area), "area_name")  # one row per region letter
         .withColumnRenamed("area_cde", "area_code")
     )
-    return add_ranks(rows, MONTH, KPI_RANKS, row_bound, values_per_task)
+    return add_ranks(rows, MONTH, KPI_RANKS, values_per_task)
 
 
 def npl_by_area(frames: Frames, periods: Periods, fan_out: bool = True) -> DataFrame:
@@ -46,18 +44,15 @@ def asm_npl_report(
     frames: Frames,
     periods: Periods,
     fan_out: bool = True,
-    row_bound: int | None = None,
     values_per_task: int = VALUES_PER_TASK,
 ) -> DataFrame:
     """KPI ranks plus the NPL ratio of the manager's region, lowest ratio first.
 
     KPI ranks come before the join, so they count managers whose region has no ratio.
     """
-    if row_bound is None:
-        row_bound = frames.roster.count()
     ratios = F.broadcast(npl_by_area(frames, periods, fan_out))  # at most eight rows per month
-    rows = kpi_ranks(frames, periods, row_bound, values_per_task).join(ratios, ["month_key", "area_code"])
-    return add_ranks(rows, MONTH, [NPL_RANK], row_bound, values_per_task).select(
+    rows = kpi_ranks(frames, periods, values_per_task).join(ratios, ["month_key", "area_code"])
+    return add_ranks(rows, MONTH, [NPL_RANK], values_per_task).select(
         "month_key",
         "area_code",
         "area_name",
@@ -86,20 +81,19 @@ def scorecard(
     good; name measures in ``best_high`` to rank them the other way round.
     """
     month = Periods(periods.years, (periods.last,))
-    row_bound = frames.roster.count()
     frames = frames.stored(month)  # balances and sheet feed both the region report and the ranks
     finance = wide_report(frames, month).select(
         month_key(F.col("year"), F.col("month")).alias("month_key"), "area_name", *FINANCE
     )
     scale = F.col("rank_ltn_avg") + F.col("rank_psdn_avg") + F.col("rank_approve_rate_avg") + F.col("rank_npl")
     rows = (
-        asm_npl_report(frames, month, fan_out, row_bound, values_per_task)
+        asm_npl_report(frames, month, fan_out, values_per_task)
         .withColumn("scale_score", scale)
         .join(F.broadcast(finance), ["month_key", "area_name"])  # at most eight rows per month
     )
     finance_ranks = [Rank(c, f"rank_{c}", c in best_high, spread="few") for c in FINANCE]
     scale_rank = Rank("scale_score", "rank_scale", spread="whole")
-    rows = add_ranks(rows, MONTH, [scale_rank, *finance_ranks], row_bound, values_per_task)
+    rows = add_ranks(rows, MONTH, [scale_rank, *finance_ranks], values_per_task)
     finance_score = sum((F.col(r.name) for r in finance_ranks), F.lit(0))
     rows = rows.withColumn("finance_score", finance_score).withColumn(
         "total_score", F.col("scale_score") + F.col("finance_score")
@@ -108,7 +102,7 @@ def scorecard(
         Rank("finance_score", "rank_finance", spread="few"),
         Rank("total_score", "rank_final", spread="whole"),
     ]
-    return add_ranks(rows, MONTH, last, row_bound, values_per_task).select(
+    return add_ranks(rows, MONTH, last, values_per_task).select(
         "month_key",
         "area_code",
         "area_name",
@@ -141,4 +135,4 @@ def scorecard(
 def kpi_rank_sum(frames: Frames, periods: Periods, ranks: list[Rank] | None = None) -> DataFrame:
     """Any weighted-free rank sum over manager KPIs: ranks per column and direction, and their sum."""
     rows = asm_averages(frames.sales, periods).dropna(subset=list(KPIS))
-    return rank_sum(rows, MONTH, "score", ranks or KPI_RANKS, frames.roster.count())
+    return rank_sum(rows, MONTH, "score", ranks or KPI_RANKS)

@@ -119,22 +119,22 @@ class RuleBook:
 # Accounts of each metric in the chart of accounts.
 FINANCE_COMPANY = RuleBook(
     (
-        MetricRule("interest_in_term", BALANCE_1, (702000030001, 702000030002, 702000030102)),
+        MetricRule("interest_in_term", BALANCE_1, (702000030002, 702000030001, 702000030102)),
         MetricRule("interest_overdue", BALANCE_2, (702000030012, 702000030112)),
         MetricRule("fee_insurance", ACTIVATIONS, (716000000001,)),
         MetricRule("fee_limit_increase", BALANCE_1, (719000030002,)),
         MetricRule(
             "fee_late_payment",
             BALANCE_2_TO_5,
-            (719000030003, 719000030103, 790000030003, 790000030004, 790000030103, 790000030104),
+            (719000030003, 719000030103, 790000030003, 790000030103, 790000030004, 790000030104),
         ),
         MetricRule(
             "rev_business",
             BALANCE_ALL,
             (
                 702000010001, 702000010002, 704000000001, 705000000001, 709000000001,
-                709000000101, 714000000002, 714000000003, 714000000004, 714014000001,
-                714037000001, 715000000001, 715037000001, 719000000001, 719000000101,
+                714000000002, 714000000003, 714037000001, 714000000004, 714014000001,
+                715000000001, 715037000001, 719000000001, 709000000101, 719000000101,
             ),
         ),
         MetricRule("cost_commission", BALANCE_ALL, (816000000001, 816000000002, 816000000003)),
@@ -142,10 +142,10 @@ FINANCE_COMPANY = RuleBook(
             "cost_other_business",
             BALANCE_ALL,
             (
-                790000000003, 790000000101, 790000050101, 790037000001, 809000000001, 809000000002,
-                811000000001, 811000000002, 811000000101, 811000000102, 811014000001, 811037000001,
-                811039000001, 811041000001, 815000000001, 819000000001, 819000000002, 819000000003,
-                819000060001, 849000000001, 899000000002, 899000000003,
+                809000000002, 809000000001, 811000000001, 811000000102, 811000000002, 811014000001, 811037000001,
+                811039000001, 811041000001, 815000000001, 819000000002, 819000000003, 819000000001, 790000000003,
+                790000050101, 790000000101, 790037000001, 849000000001, 899000000003, 899000000002, 811000000101,
+                819000060001,
             ),
         ),
         MetricRule("cost_staff", HEADCOUNT, account_classes=(85,)),
@@ -155,8 +155,8 @@ FINANCE_COMPANY = RuleBook(
             "cost_provision",
             HEADCOUNT,
             (
-                790000000001, 790000020101, 790000030001, 790000050001, 790000050101, 882200000001,
-                882200020101, 882200030001, 882200030101, 882200050001, 882200050101, 882200060001,
+                790000050001, 882200050001, 790000030001, 882200030001, 790000000001, 790000020101,
+                882200000001, 882200050101, 882200020101, 882200060001, 790000050101, 882200030101,
             ),
         ),
         MetricRule("cost_fund_cctg", CARD_INCOME, (803000000001,)),

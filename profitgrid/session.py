@@ -26,10 +26,10 @@ def local_session(cores: int | str = "*", app: str = "profitgrid") -> SparkSessi
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``.
 
-    The setting must name storage that every executor sees. Only a local master, where driver and
+    The setting, or else the folder given to ``setCheckpointDir``, must name storage that every executor sees. Only a local master, where driver and
     executors are one process, may fall back to a temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")

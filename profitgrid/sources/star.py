@@ -13,11 +13,11 @@ from pyspark.sql import functions as F
 
 from profitgrid import rules as R
 from profitgrid.functions.columns import ACCOUNTS_PER_CLASS, DIRECT, HEAD, or_default
-from profitgrid.operators.sheet import MEASURES, monthly_sheet, sheet_to_long
+from profitgrid.operators.sheet import MANAGER, MEASURES, monthly_sheet, sheet_to_long
 from profitgrid.plans.frames import Frames, Organisation
 from profitgrid.rules import MetricRule, RuleBook
 
-BROADCAST_ROWS = 200_000  # about 20 MB of supplier or customer columns
+FILLER = "0000"  # characters 5 to 8 of an analysis code; the letter is character 9
 
 
 def _account(number: int, suffix: int) -> int:
@@ -49,10 +49,9 @@ STAR = Organisation(STAR_RULES, "AFRICA", ("AMERICA", "ASIA", "EUROPE", "MIDDLE
 class StarModel:
     """Model frames over the tables in ``folder``. Tables are read once the frames are used."""
 
-    def __init__(self, spark: SparkSession, folder: str, broadcast_rows: int = BROADCAST_ROWS) -> None:
+    def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder
-        self.broadcast_rows = broadcast_rows
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -61,14 +60,13 @@ class StarModel:
             self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
         return self._tables[name]
 
-    def _shipped_if_small(self, dimension: DataFrame, rows_of: str) -> DataFrame:
-        """Broadcast a dimension after counting its rows (from file footers).
-
-        A larger one is joined by sort-merge, where adaptive execution splits the partition of a
-        key that holds a large part of the facts.
-        """
-        small = self.table(rows_of).count() <= self.broadcast_rows
-        return F.broadcast(dimension) if small else dimension
+    @cached_property
+    def years(self) -> tuple[int, ...]:
+        """All years from the first to the last shipment or order; reads the two date columns."""
+        dates = [self.table("lineitem").select("l_shipdate"), self.table("orders").select("o_orderdate")]
+        ends = [d.select(F.year(F.col(d.columns[0])).alias("y")).agg(F.min("y"), F.max("y")).first() for d in dates]
+        found = [y for row in ends for y in row if y is not None]
+        return tuple(range(min(found), max(found) + 1)) if found else (1970,)
 
     @cached_property
     def _nations(self) -> DataFrame:
@@ -80,9 +78,9 @@ class StarModel:
 
     @cached_property
     def _suppliers(self) -> DataFrame:
-        padded = F.lpad(F.col("s_suppkey").cast("string"), 4, "0")
-        code = F.when(F.col("letter") == "A", F.concat(F.lit(HEAD), padded)).otherwise(
-            F.concat(F.lit(DIRECT), padded, "letter")
+        key = F.col("s_suppkey").cast("string")
+        code = F.when(F.col("letter") == "A", F.concat(F.lit(HEAD + FILLER), key)).otherwise(
+            F.concat(F.lit(DIRECT + FILLER), "letter", key)
         )
         return (
             self.table("supplier")
@@ -96,10 +94,6 @@ class StarModel:
             )
         )
 
-    @cached_property
-    def _suppliers_to_join(self) -> DataFrame:
-        return self._shipped_if_small(self._suppliers, "supplier")
-
     @cached_property
     def ledger(self) -> DataFrame:
         number = F.col("l_linenumber") + 80
@@ -115,7 +109,7 @@ class StarModel:
             F.when(cost, F.lit("D")).otherwise(F.lit("C")).alias("d_c"),
             F.lit(None).cast("int").alias("funding_id"),
         )
-        suppliers = self._suppliers_to_join
+        suppliers = self._suppliers
         return lines.join(suppliers, lines["l_suppkey"] == suppliers["s_suppkey"]).select(
             "transaction_date",
             "account_code",
@@ -155,7 +149,7 @@ class StarModel:
             F.when((F.col("o_orderstatus") == "O"), 1).when(closed, 0).alias("psdn"),
             F.when(~((bucket == 1) & (F.col("o_orderstatus") == "P")), bucket).alias("max_bucket"),
         )
-        points = self._shipped_if_small(self._points_of_sale.drop("area_cde"), "customer")
+        points = self._points_of_sale.drop("area_cde")
         written_off = F.when(F.col("write_off_month").isNotNull(), F.expr("outstanding_principal div 10"))
         return orders.join(points, orders["o_custkey"] == points["c_custkey"]).select(
             "kpi_month",
@@ -208,9 +202,9 @@ class StarModel:
     @cached_property
     def sales(self) -> DataFrame:
         """KPIs of the months in which a manager had any line."""
-        monthly, suppliers = self._monthly_kpis, self._suppliers_to_join
+        monthly, suppliers = self._monthly_kpis, self._suppliers
         return monthly.join(suppliers, monthly["l_suppkey"] == suppliers["s_suppkey"]).select(
-            "area_name", "sale_name", "email", "year", "month", *MEASURES
+            F.col("s_suppkey").alias(MANAGER), "area_name", "sale_name", "email", "year", "month", *MEASURES
         )
 
     def sheet(self, years: tuple[int, ...], months: int = 12) -> DataFrame:
@@ -218,7 +212,8 @@ class StarModel:
         each_year = F.explode(F.array(*[F.lit(y) for y in years]))
         managers = self._suppliers.withColumn("year", each_year).withColumnRenamed("s_suppkey", "l_suppkey")
         cells = monthly_sheet(self._monthly_kpis, ["l_suppkey", "year"], months)
-        return managers.join(cells, ["l_suppkey", "year"], "left").drop("l_suppkey", "analysis_code")
+        wide = managers.join(cells, ["l_suppkey", "year"], "left").drop("analysis_code")
+        return wide.withColumnRenamed("l_suppkey", MANAGER)
 
     def sales_of_all_months(self, years: tuple[int, ...], months: int = 12) -> DataFrame:
         return sheet_to_long(self.sheet(years, months))

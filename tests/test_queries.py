@@ -8,6 +8,7 @@ import io
 import check_all
 import pytest
 from fixtures import as_set, balances, city, direct, head, ledger, loan
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -91,7 +92,7 @@ def test_large_dimensions_join_without_broadcast(spark, small):
     want = as_set(report.wide_report(StarModel(spark, small).frames(), Periods.of(1997, 12)), "*")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        model = StarModel(spark, small, broadcast_rows=0)
+        model = StarModel(spark, small)
         assert "SortMergeJoin" in plan_of(model.ledger)
         assert as_set(report.wide_report(model.frames(), Periods.of(1997, 12)), "*") == want
     finally:
@@ -109,7 +110,7 @@ def test_hot_supplier_and_customer_split_by_adaptive_execution(spark, small, tmp
     orders = spark.read.parquet(f"{small}/orders.parquet")
     hot = F.when(F.col("o_orderkey") % 3 == 0, F.lit(1).cast("long")).otherwise(F.col("o_custkey"))
     orders.withColumn("o_custkey", hot).repartition(8).write.parquet(f"{folder}/orders.parquet")
-    periods = Periods(entry.YEARS, (12,))
+    periods = Periods(tuple(range(1995, 2002)), (12,))
     want = as_set(report.wide_report(StarModel(spark, folder).frames(), periods), "*")
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -120,7 +121,7 @@ def test_hot_supplier_and_customer_split_by_adaptive_execution(spark, small, tmp
     for key, value in settings.items():
         spark.conf.set(key, value)
     try:
-        model = StarModel(spark, folder, broadcast_rows=0)
+        model = StarModel(spark, folder)
         assert as_set(report.wide_report(model.frames(), periods), "*") == want
         monthly = L.monthly_by_rule_key(model.ledger, periods, model.frames().organisation.rules)
         monthly.collect()
@@ -128,3 +129,19 @@ def test_hot_supplier_and_customer_split_by_adaptive_execution(spark, small, tmp
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+def test_whole_supplier_keys_and_years_beyond_the_usual_ones(spark, small, tmp_path):
+    """Suppliers 9,999 to 10,011 keep a code each, and a line shipped in 2005 reaches the reports."""
+    folder = str(tmp_path)
+    for name in ("region", "nation", "customer", "orders"):
+        spark.read.parquet(f"{small}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
+    suppliers, lines = (spark.read.parquet(f"{small}/{name}.parquet") for name in ("supplier", "lineitem"))
+    keys = spark.range(9999, 10012).withColumnRenamed("id", "s_suppkey")
+    suppliers.limit(1).drop("s_suppkey").crossJoin(keys).select(*suppliers.columns).write.parquet(f"{folder}/supplier.parquet")
+    late = F.to_timestamp(F.lit("2005-03-01")).cast(lines.schema["l_shipdate"].dataType)
+    moved = lines.limit(13).drop("l_suppkey", "l_shipdate").withColumn("l_shipdate", late)
+    number = F.row_number().over(Window.orderBy("l_orderkey", "l_linenumber"))
+    moved.withColumn("l_suppkey", (number + 9998).cast("long")).select(*lines.columns).write.parquet(f"{folder}/lineitem.parquet")
+    assert StarModel(spark, folder).ledger.select("analysis_code").distinct().count() == 13
+    assert 2005 in {r["year"] for r in entry.queries()["ledger_ytd"](spark, folder).collect()}

@@ -80,11 +80,11 @@ def test_sheet_with_two_months_and_a_missing_column(spark):
     assert as_set(long, "year", "month", "ltn", "psdn") == {(2023, 1, 1, None), (2023, 2, 2, None)}
 
 
-@pytest.mark.parametrize("bound", [10, None])
-def test_ties_and_nulls(spark, bound):
+@pytest.mark.parametrize("values_per_task", [2, 10])
+def test_ties_and_nulls(spark, values_per_task):
     rows = spark.createDataFrame([(1, "a", 10.0), (1, "b", 10.0), (1, "c", 5.0), (1, "d", None)], ["g", "id", "v"])
     ranks = [Rank("v", "high", descending=True), Rank("v", "low")]
-    got = add_ranks(rows, ["g"], ranks, bound, values_per_task=2 if bound is None else 10)
+    got = add_ranks(rows, ["g"], ranks, values_per_task)
     assert as_set(got, "id", "high", "low") == {("a", 1, 2), ("b", 1, 2), ("c", 3, 1), ("d", 4, 4)}
 
 
@@ -98,7 +98,7 @@ def test_rank_by_value_ranges_equals_a_plain_window(spark, rows, descending, spr
     df = spark.createDataFrame(data, "id int, g int, v double")
     order = F.col("v").desc_nulls_last() if descending else F.col("v").asc_nulls_last()
     want = as_set(df.withColumn("r", F.rank().over(Window.partitionBy("g").orderBy(order)).cast("long")), "id", "r")
-    got = add_ranks(df, ["g"], [Rank("v", "r", descending, spread)], None, values_per_task=7)
+    got = add_ranks(df, ["g"], [Rank("v", "r", descending, spread)], values_per_task=7)
     assert as_set(got, "id", "r") == want
 
 
@@ -114,13 +114,13 @@ def test_buckets_grow_with_the_value(spark, buckets):
 def test_rank_of_whole_numbers_by_width(spark):
     df = spark.range(100).select("id", F.lit(1).alias("g"), (F.col("id") * 37 % 50 - 25).alias("v"))
     want = as_set(df.withColumn("r", F.rank().over(Window.partitionBy("g").orderBy("v")).cast("long")), "id", "r")
-    got = add_ranks(df, ["g"], [Rank("v", "r", spread="whole")], None, values_per_task=8)
+    got = add_ranks(df, ["g"], [Rank("v", "r", spread="whole")], values_per_task=8)
     assert as_set(got, "id", "r") == want
 
 
 def test_rank_sum(spark):
     rows = spark.createDataFrame([(1, "a", 1, 9), (1, "b", 2, 8), (1, "c", 3, 9)], ["g", "id", "x", "y"])
-    got = rank_sum(rows, ["g"], "score", [Rank("x", "rx"), Rank("y", "ry", descending=True)], 3)
+    got = rank_sum(rows, ["g"], "score", [Rank("x", "rx"), Rank("y", "ry", descending=True)])
     assert as_set(got, "id", "score") == {("a", 2), ("b", 5), ("c", 4)}
 
 
@@ -150,3 +150,16 @@ def test_finance_ranks_can_be_turned_round(spark, small):
     high = scorecard.scorecard(model, periods, best_high=("margin",)).select("email", F.col("rank_margin").alias("high"))
     both = low.join(high, "email").orderBy("margin").collect()
     assert both[0]["low"] == 1 and both[-1]["high"] == 1
+
+
+def test_managers_with_equal_or_missing_email_stay_apart(spark):
+    sheet = spark.createDataFrame(
+        [("north", "a", None, 1, 1, 1.0, 3, 1, 1.0), ("north", "b", None, 5, 1, 1.0, 7, 1, 1.0),
+         ("north", "c", "x@x", 2, 1, 1.0, 2, 1, 1.0), ("north", "c", "x@x", 9, 1, 1.0, 9, 1, 1.0)],
+        "area_name string, sale_name string, email string, ltn_jan long, psdn_jan long, approval_rate_jan double, "
+        "ltn_feb long, psdn_feb long, approval_rate_feb double",
+    )
+    averages = asm_averages(sheet_to_long(sheet, F.lit(2023)), FEB)
+    assert sorted(r.ltn_avg for r in averages.collect()) == [2.0, 2.0, 6.0, 9.0]
+    ranked = add_ranks(averages, ["month_key"], [Rank("ltn_avg", "r", descending=True)])
+    assert sorted(r.r for r in ranked.collect()) == [1, 2, 3, 3]
