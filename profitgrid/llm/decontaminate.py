@@ -189,16 +189,14 @@ def _search(items: list, size: int, near: int, id_type: str):
                 if a < b and covered[b] > covered[a]:
                     spans[d].append((int(a - starts[d]), int(b - starts[d])))
         found = sorted({*exact, *close})
-        return pd.DataFrame(
-            {
-                "shard": [shard] * len(found),
-                "doc": found,
-                "low": [[a for a, _ in spans[d]] for d in found],
-                "high": [[b for _, b in spans[d]] for d in found],
-                "items": [[items[k][0] for k in sorted(exact[d])] for d in found],
-                "near_items": [[items[k][0] for k in sorted(close[d])] for d in found],
-            }
-        )
+        columns = {
+            "low": [[a for a, _ in spans[d]] for d in found],
+            "high": [[b for _, b in spans[d]] for d in found],
+            "items": [[items[k][0] for k in sorted(exact[d])] for d in found],
+            "near_items": [[items[k][0] for k in sorted(close[d])] for d in found],
+        }
+        lists_of = {c: pd.Series(v, dtype=object) for c, v in columns.items()}
+        return pd.DataFrame({"shard": np.full(len(found), shard), "doc": np.array(found, np.int32), **lists_of})
 
     lists = f"low array<int>, high array<int>, items array<{id_type}>, near_items array<{id_type}>"
     return run, f"shard bigint, doc int, {lists}"
