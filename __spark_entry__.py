@@ -1,7 +1,7 @@
 """Registered queries and the SQL that checks them.
 
 Every query works on whole tables. Reports "of the year" cover December year-to-date of every year
-in the data; the scorecard covers February of every year; multi-month reports cover every month.
+in the data; the scorecard and the multi-month reports cover every month.
 """
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from dataclasses import replace
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -20,10 +21,11 @@ from profitgrid import rules as R  # noqa: E402
 from profitgrid.operators import audit, dims, ledger, npl, reshape, sheet, weights  # noqa: E402
 from profitgrid.operators.balances import point_sums  # noqa: E402
 from profitgrid.periods import Periods  # noqa: E402
-from profitgrid.plans import report, scorecard  # noqa: E402
+from profitgrid.plans import report, scorecard, store  # noqa: E402
+from profitgrid.plans.frames import Frames  # noqa: E402
 from profitgrid.session import shared_folder  # noqa: E402
-from profitgrid.sources import sinks  # noqa: E402
-from profitgrid.sources.star import STAR_RULES, StarModel  # noqa: E402
+from profitgrid.sources import readers, sinks  # noqa: E402
+from profitgrid.sources.star import FINANCE, FINANCE_CHART, STAR_RULES, StarModel  # noqa: E402
 
 try:
     import corpus_pipeline
@@ -79,7 +81,7 @@ def load_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = StarModel(spark, sf_dir)
     return audit.load_audit(
         {
-            "ledger": (model.ledger, "account_code"),
+            "ledger": (model.postings, "account_code"),
             "balances": (model.balances, "pos_cde"),
             "city": (model.city, "pos_cde"),
             "sales": (model.roster, "email"),
@@ -101,11 +103,11 @@ def ledger_direct_by_area(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ledger_account_set_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledger.account_set_totals(StarModel(spark, sf_dir).ledger, STAR_RULES)
+    return ledger.account_set_totals(StarModel(spark, sf_dir).postings, STAR_RULES)
 
 
 def ledger_account_class(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledger.account_class_totals(StarModel(spark, sf_dir).ledger)
+    return ledger.account_class_totals(StarModel(spark, sf_dir).postings)
 
 
 def ledger_ytd(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,7 +166,7 @@ def asm_complete_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def asm_complete_all_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = StarModel(spark, sf_dir)
-    return sheet.complete_through(model.sales, Periods(model.years, FEBRUARY))
+    return sheet.complete_through(model.sales, Periods(model.years, ALL_MONTHS))
 
 
 # Allocation and level 1
@@ -196,7 +198,8 @@ def level1_metric(metric: str) -> Callable[[SparkSession, str], DataFrame]:
 
 def interest_in_term_adhoc(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = StarModel(spark, sf_dir)
-    return report.interest_in_term_by_name(model.frames(), Periods(model.years, FEBRUARY), (1, 2))
+    periods = Periods(model.years, FEBRUARY)
+    return report.interest_in_term_by_name(model.frames(periods), periods, (1, 2))
 
 
 def level1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,6 +263,12 @@ def multi_month_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _numeric_cells(report.pivot_report(model.frames(), Periods(model.years, ALL_MONTHS), reshape.CRITERIA))
 
 
+def pivot_report_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pivot as it is delivered: cells as text, display names as column names."""
+    model = StarModel(spark, sf_dir)
+    return report.with_labels(report.pivot_report(model.frames(), Periods(model.years, YEAR_END), text=True))
+
+
 def metric_hierarchy_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = StarModel(spark, sf_dir)
     frames = model.frames()
@@ -276,9 +285,69 @@ def region_revenue_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.revenue_shares(model.frames(), Periods(model.years, YEAR_END))
 
 
+# The finance company's own accounts
+
+
+def _finance(spark: SparkSession, sf_dir: str) -> StarModel:
+    return StarModel(spark, sf_dir, FINANCE, FINANCE_CHART)
+
+
+def finance_account_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ledger.account_set_totals(_finance(spark, sf_dir).postings, R.FINANCE_COMPANY)
+
+
+def finance_level1_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = _finance(spark, sf_dir)
+    rows = report.allocated(model.frames(), Periods(model.years, YEAR_END))
+    return two_digits(rows.select("metric", "year", "month", "area_cde", "value"), "value")
+
+
+def finance_level1_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = _finance(spark, sf_dir)
+    return report.level1_report(model.frames(), Periods(model.years, YEAR_END))
+
+
+def finance_cost_of_funds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = _finance(spark, sf_dir)
+    rows = report.summary(model.frames(), Periods(model.years, YEAR_END))
+    return two_digits(rows.select("year", "month", "area_name", *R.LEVEL_2), *R.LEVEL_2)
+
+
 # Sinks
 
 
+def _kept(spark: SparkSession, sf_dir: str, refresh: bool) -> tuple[Frames, Periods, DataFrame]:
+    """June is stored; then every posting counts twice, and June and December are stored again."""
+    model, path = StarModel(spark, sf_dir), shared_folder(spark)
+    periods = Periods(model.years, (6, *YEAR_END))
+    store.keep_summary(model.frames(), Periods(model.years, (6,)), path)
+    later = replace(model.frames(), ledger=model.ledger.withColumn("amount", F.col("amount") * 2))
+    return later, periods, store.keep_summary(later, periods, path, refresh)
+
+
+def stored_wide_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide report from the stored summary, where June keeps its first values."""
+    frames, periods, stored = _kept(spark, sf_dir, refresh=False)
+    return report.wide_report(frames, periods, stored)
+
+
+def refreshed_wide_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide report from the stored summary, both months replaced."""
+    frames, periods, stored = _kept(spark, sf_dir, refresh=True)
+    return report.wide_report(frames, periods, stored)
+
+
+def stored_facts_wide_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide report over a ledger and balances that were written and read back."""
+    model, path = StarModel(spark, sf_dir), shared_folder(spark)
+    sinks.write_ledger(model.ledger, f"{path}/ledger")
+    sinks.write_balances(model.balances, f"{path}/balances")
+    kept_ledger, kept_balances = readers.read_ledger(spark, f"{path}/ledger"), readers.read_balances(spark, f"{path}/balances")
+    city = dims.build_city(kept_balances, model.city_letters)
+    frames = replace(model.frames(), ledger=kept_ledger, balances=kept_balances, city=city)
+    return report.wide_report(frames, Periods(model.years, YEAR_END))
+
+
 def sink_overwrite_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two full refreshes: what remains is the second one."""
     model = StarModel(spark, sf_dir)
@@ -354,28 +423,28 @@ def _rounded_rates(rows: DataFrame) -> DataFrame:
 def asm_kpi_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every manager of the sheet, with NULL where a month is missing."""
     model = StarModel(spark, sf_dir)
-    sales = model.sales_of_all_months(model.years, FEBRUARY[-1])
-    return _rounded_rates(sheet.asm_averages(sales, Periods(model.years, FEBRUARY)))
+    sales = model.sales_of_all_months(model.years)
+    return _rounded_rates(sheet.asm_averages(sales, Periods(model.years, ALL_MONTHS)))
 
 
 def asm_kpi_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = StarModel(spark, sf_dir)
-    return _rounded_rates(scorecard.kpi_ranks(model.frames(), Periods(model.years, FEBRUARY)))
+    return _rounded_rates(scorecard.kpi_ranks(model.frames(), Periods(model.years, ALL_MONTHS)))
 
 
 def asm_npl_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = StarModel(spark, sf_dir)
-    return _rounded_rates(scorecard.asm_npl_report(model.frames(), Periods(model.years, FEBRUARY)))
+    return _rounded_rates(scorecard.asm_npl_report(model.frames(), Periods(model.years, ALL_MONTHS)))
 
 
 def asm_scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = StarModel(spark, sf_dir)
-    return _rounded_rates(scorecard.scorecard(model.frames(), Periods(model.years, FEBRUARY)))
+    return _rounded_rates(scorecard.scorecard(model.frames(), Periods(model.years, ALL_MONTHS)))
 
 
 def rank_sum_generic(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = StarModel(spark, sf_dir)
-    return _rounded_rates(scorecard.kpi_rank_sum(model.frames(), Periods(model.years, FEBRUARY)))
+    return _rounded_rates(scorecard.kpi_rank_sum(model.frames(), Periods(model.years, ALL_MONTHS)))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -386,8 +455,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         headcount_weight, area_weight_share, headcount_by_area, asm_complete_filter, asm_complete_all_months,
         pool_allocation, allocation_residual, interest_in_term_adhoc, level1_report,
         cost_of_funds, aggregate_metrics, ratio_metrics, wide_report, multi_month_wide, melt_report,
-        pivot_report, multi_month_pivot, metric_hierarchy_rollup, region_revenue_share,
-        sink_overwrite_roundtrip, append_if_absent,
+        pivot_report, pivot_report_text, multi_month_pivot, metric_hierarchy_rollup, region_revenue_share,
+        finance_account_sets, finance_level1_metrics, finance_level1_report, finance_cost_of_funds,
+        sink_overwrite_roundtrip, append_if_absent, stored_wide_report, refreshed_wide_report, stored_facts_wide_report,
         npl_balances, npl_city_fanout, writeoff_flow, npl_left_zero_fill, writeoff_running_total,
         npl_before_writeoff_avg, npl_ratio,
         asm_kpi_avg, asm_kpi_ranks, asm_npl_report, asm_scorecard, rank_sum_generic,

@@ -1,14 +1,120 @@
 """SQL for DuckDB that computes the registered queries another way.
 
 Reports are computed period by period: each report month joins the postings and balances of its
-months. The SQL shares no code with the Spark plans apart from the rule book and the report labels.
+months. Nothing is imported from the package: accounts, labels and the metric tree stand here once more.
 """
 
 from __future__ import annotations
 
-from profitgrid import rules as R
-from profitgrid.operators import dims, reshape
-from profitgrid.sources.star import STAR, STAR_RULES
+# Metric, weight, and the first and last account code of each range.
+STAR_RULES = """
+  ('interest_in_term', 'balance_bucket_1', 810000000000, 810000000001),
+  ('interest_overdue', 'balance_bucket_2', 810000000002, 810000000003),
+  ('fee_insurance', 'activations', 810000000004, 810000000004),
+  ('fee_limit_increase', 'balance_bucket_1', 820000000000, 820000000000),
+  ('fee_late_payment', 'balance_bucket_2_to_5', 820000000001, 820000000004),
+  ('rev_business', 'balance_all', 830000000000, 830000000002),
+  ('cost_commission', 'balance_all', 840000000000, 840000000000),
+  ('cost_other_business', 'balance_all', 840000000001, 840000000003),
+  ('cost_staff', 'headcount', 850000000000, 859999999999),
+  ('cost_admin', 'headcount', 860000000000, 869999999999),
+  ('cost_asset', 'headcount', 870000000000, 879999999999),
+  ('cost_provision', 'headcount', 840000000003, 840000000004),
+  ('cost_fund_cctg', 'card_income', 830000000003, 830000000003),
+  ('cost_fund_tt2', 'card_income', 830000000004, 830000000004)"""
+
+# Metric, weight and accounts of the finance company; classes 85 to 87 follow below.
+FINANCE_ACCOUNTS = (
+    ("interest_in_term", "balance_bucket_1", "702000030002 702000030001 702000030102"),
+    ("interest_overdue", "balance_bucket_2", "702000030012 702000030112"),
+    ("fee_insurance", "activations", "716000000001"),
+    ("fee_limit_increase", "balance_bucket_1", "719000030002"),
+    ("fee_late_payment", "balance_bucket_2_to_5",
+     "719000030003 719000030103 790000030003 790000030103 790000030004 790000030104"),
+    ("rev_business", "balance_all",
+     "702000010001 702000010002 704000000001 705000000001 709000000001 714000000002 714000000003 714037000001 "
+     "714000000004 714014000001 715000000001 715037000001 719000000001 709000000101 719000000101"),
+    ("cost_commission", "balance_all", "816000000001 816000000002 816000000003"),
+    ("cost_other_business", "balance_all",
+     "809000000002 809000000001 811000000001 811000000102 811000000002 811014000001 811037000001 811039000001 "
+     "811041000001 815000000001 819000000002 819000000003 819000000001 790000000003 790000050101 790000000101 "
+     "790037000001 849000000001 899000000003 899000000002 811000000101 819000060001"),
+    ("cost_provision", "headcount",
+     "790000050001 882200050001 790000030001 882200030001 790000000001 790000020101 882200000001 882200050101 "
+     "882200020101 882200060001 790000050101 882200030101"),
+    ("cost_fund_cctg", "card_income", "803000000001"),
+    ("cost_fund_tt2", "card_income", "801000000001 802000000001"),
+)
+FINANCE_CLASSES = (("cost_staff", 85), ("cost_admin", 86), ("cost_asset", 87))
+
+CARD_METRICS = ("interest_in_term", "interest_overdue", "fee_insurance", "fee_limit_increase", "fee_late_payment")
+LEVEL_1 = (
+    *CARD_METRICS, "rev_business", "cost_commission", "cost_other_business",
+    "cost_staff", "cost_admin", "cost_asset", "cost_provision",
+)
+LEVEL_2 = ("cost_fund_cctg", "cost_fund_tt2")
+REGIONS = ("AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
+
+# Code, parent and level of the metrics in display order.
+TREE = (
+    ("profit_before_tax", None, 0),
+    ("total_income", "profit_before_tax", 1),
+    ("card_income", "total_income", 2),
+    ("interest_in_term", "card_income", 3),
+    ("interest_overdue", "card_income", 3),
+    ("fee_insurance", "card_income", 3),
+    ("fee_limit_increase", "card_income", 3),
+    ("fee_late_payment", "card_income", 3),
+    ("net_fund_cost", "total_income", 2),
+    ("cost_fund_tt2", "net_fund_cost", 3),
+    ("cost_fund_cctg", "net_fund_cost", 3),
+    ("net_other", "total_income", 2),
+    ("rev_business", "net_other", 3),
+    ("cost_commission", "net_other", 3),
+    ("cost_other_business", "net_other", 3),
+    ("total_cost", "profit_before_tax", 1),
+    ("cost_staff", "total_cost", 2),
+    ("cost_admin", "total_cost", 2),
+    ("cost_asset", "total_cost", 2),
+    ("cost_provision", "profit_before_tax", 1),
+)
+
+# Criteria of the single-month report in display order; the multi-month one has those with a measure.
+ONE_MONTH = (
+    ("1.Lợi nhuận trước thuế", "profit_before_tax"),
+    ("Thu nhập từ hoạt động thẻ", "card_income"),
+    ("Lãi trong hạn", "interest_in_term"),
+    ("Lãi quá hạn", "interest_overdue"),
+    ("Phí Bảo hiểm", "fee_insurance"),
+    ("Phí tăng hạn mức", "fee_limit_increase"),
+    ("Phí thanh toán chậm, thu từ ngoại bảng, khác…", "fee_late_payment"),
+    ("Chi phí thuần KDV", "net_fund_cost"),
+    ("DT Nguồn vốn", None),
+    ("CP vốn TT 2", "cost_fund_tt2"),
+    ("CP vốn TT 1", None),
+    ("CP vốn CCTG", "cost_fund_cctg"),
+    ("Chi phí thuần hoạt động khác", "net_other"),
+    ("DT Fintech", None),
+    ("DT tiểu thương, cá nhân", None),
+    ("DT Kinh doanh", "rev_business"),
+    ("CP hoa hồng", "cost_commission"),
+    ("CP thuần KD khác", "cost_other_business"),
+    ("CP hợp tác kd tàu (net)", None),
+    ("Tổng thu nhập hoạt động", "total_income"),
+    ("Tổng chi phí hoạt động", "total_cost"),
+    ("CP thuế, phí", None),
+    ("CP nhân viên", "cost_staff"),
+    ("CP quản lý", "cost_admin"),
+    ("CP tài sản", "cost_asset"),
+    ("Chi phí dự phòng", "cost_provision"),
+    ("2.Số lượng nhân sự ( Sale Manager )", "headcount"),
+    ("3.Chỉ số tài chính", None),
+    ("CIR (%)", "cir"),
+    ("Margin (%)", "margin"),
+    ("Hiệu suất trên/vốn (%)", "return_on_capital"),
+    ("Hiệu suất BQ/ Nhân sự", "profit_per_head"),
+)
+MANY_MONTHS = tuple(c for c in ONE_MONTH if c[1])
 
 YEARS = """SELECT unnest(range(low, high + 1)) AS year FROM (
   SELECT min(y) AS low, max(y) AS high FROM (
@@ -27,13 +133,17 @@ NATIONS = """nations AS (
   SELECT n_nationkey, n_name, r_name, substr('ABCDE', r_regionkey + 1, 1) AS letter
   FROM nation JOIN region ON n_regionkey = r_regionkey)"""
 
+STAR_ACCOUNT = "cast(80 + l_linenumber AS bigint) * 10000000000 + l_partkey % 5"
+STAR_COST = "80 + l_linenumber >= 84 OR (80 + l_linenumber = 83 AND l_partkey % 5 >= 3)"
+AMOUNT = "CASE WHEN cost THEN -cents ELSE cents END AS amount"
+
 LEDGER = f"""{NATIONS}, ledger AS (
   SELECT transaction_date, account_code, 'class ' || class AS account_description, analysis_code,
-    CASE WHEN cost THEN -cents ELSE cents END AS amount, CASE WHEN cost THEN 'D' ELSE 'C' END AS d_c, -1 AS funding_id
+    {AMOUNT}, CASE WHEN cost THEN 'D' ELSE 'C' END AS d_c, -1 AS funding_id
   FROM (
     SELECT cast(l_shipdate AS date) AS transaction_date, 80 + l_linenumber AS class,
-      cast(80 + l_linenumber AS bigint) * 10000000000 + l_partkey % 5 AS account_code,
-      80 + l_linenumber >= 84 OR (80 + l_linenumber = 83 AND l_partkey % 5 >= 3) AS cost,
+      {STAR_ACCOUNT} AS account_code,
+      {STAR_COST} AS cost,
       cast(round(l_extendedprice * 100) AS bigint) AS cents,
       CASE WHEN letter = 'A' THEN 'HEAD0000' || cast(l_suppkey AS varchar)
         ELSE 'DVML0000' || letter || cast(l_suppkey AS varchar) END AS analysis_code
@@ -79,18 +189,26 @@ DENSE = f"""{SALES}, dense AS (
   LEFT JOIN sales s ON s.email = r.email AND s.year = y.year AND s.month = m.month)"""
 
 
-def _rules() -> str:
-    """Account ranges per metric; a single account is a range of one."""
-    rows = [f"('{r.metric}', '{r.weight}', {a}, {a})" for r in STAR_RULES.rules for a in r.accounts]
-    rows += [
-        f"('{r.metric}', '{r.weight}', {c}0000000000, {c}9999999999)"
-        for r in STAR_RULES.rules
-        for c in r.account_classes
-    ]
-    return f"rules AS (SELECT * FROM (VALUES {', '.join(rows)}) v(metric, weight, lo, hi))"
-
+RULES = f"rules AS (SELECT * FROM (VALUES {STAR_RULES}) v(metric, weight, lo, hi))"
+
+
+def _finance(sql: str) -> str:
+    """The same SQL over the finance company's accounts, on which the lines are booked part by part."""
+    rules = [(m, w, a, a) for m, w, accounts in FINANCE_ACCOUNTS for a in accounts.split()]
+    rules += [(m, "headcount", f"{c}0000000000", f"{c}9999999999") for m, c in FINANCE_CLASSES]
+    values = ", ".join(f"('{m}', '{w}', {lo}, {hi})" for m, w, lo, hi in rules)
+    chart = list(dict.fromkeys(a for _, _, accounts in FINANCE_ACCOUNTS for a in accounts.split()))
+    chart += [f"{c}000000000{i}" for _, c in FINANCE_CLASSES for i in (1, 2)]
+    account = f"([{', '.join(chart)}])[cast(l_partkey % {len(chart)} + 1 AS integer)]"
+    for old, new in (
+        (RULES, f"rules AS (SELECT * FROM (VALUES {values}) v(metric, weight, lo, hi))"),
+        (STAR_ACCOUNT, account),
+        (STAR_COST, f"{account} >= 790000000000"),
+    ):
+        assert old in sql
+        sql = sql.replace(old, new)
+    return sql
 
-RULES = _rules()
 
 YTD = f"""{LEDGER}, {RULES}, ytd AS (
   SELECT p.year, p.month, r.metric, r.weight, l.amount, l.analysis_code LIKE 'HEAD%' AS pool,
@@ -106,23 +224,23 @@ direct AS (
 MONTHLY = f"""{BALANCES}, counted AS (
   SELECT kpi_month, area_cde, weight, outstanding_principal, psdn
   FROM balances JOIN city USING (pos_cde)
-  JOIN (VALUES ('{R.BALANCE_1}'), ('{R.BALANCE_2}'), ('{R.BALANCE_2_TO_5}'), ('{R.BALANCE_ALL}'), ('{R.ACTIVATIONS}')) w(weight)
-  ON CASE weight WHEN '{R.BALANCE_1}' THEN coalesce(max_bucket, 1) = 1 WHEN '{R.BALANCE_2}' THEN max_bucket = 2
-    WHEN '{R.BALANCE_2_TO_5}' THEN max_bucket BETWEEN 2 AND 5 WHEN '{R.ACTIVATIONS}' THEN psdn = 1 ELSE true END),
+  JOIN (VALUES ('balance_bucket_1'), ('balance_bucket_2'), ('balance_bucket_2_to_5'), ('balance_all'), ('activations')) w(weight)
+  ON CASE weight WHEN 'balance_bucket_1' THEN coalesce(max_bucket, 1) = 1 WHEN 'balance_bucket_2' THEN max_bucket = 2
+    WHEN 'balance_bucket_2_to_5' THEN max_bucket BETWEEN 2 AND 5 WHEN 'activations' THEN psdn = 1 ELSE true END),
 monthly AS (
   SELECT kpi_month, area_cde, weight,
-    cast(CASE WHEN weight = '{R.ACTIVATIONS}' THEN count(psdn) ELSE sum(outstanding_principal) END AS bigint) AS total
+    cast(CASE WHEN weight = 'activations' THEN count(psdn) ELSE sum(outstanding_principal) END AS bigint) AS total
   FROM counted GROUP BY kpi_month, area_cde, weight)"""
 
 AVERAGES = f"""{MONTHLY}, averages AS (
   SELECT p.year, p.month, weight, area_cde,
-    CASE WHEN weight = '{R.ACTIVATIONS}' THEN cast(sum(total) AS double)
+    CASE WHEN weight = 'activations' THEN cast(sum(total) AS double)
       ELSE cast(sum(total) AS double) / count(total) END AS amount
   FROM periods p JOIN monthly ON kpi_month BETWEEN p.year * 100 + 1 AND p.year * 100 + p.month
   GROUP BY p.year, p.month, weight, area_cde)"""
 
 HEADS = f"""{SALES}, {AREA}, heads AS (
-  SELECT p.year, p.month, '{R.HEADCOUNT}' AS weight, area_cde, cast(count(sale_name) AS double) AS amount
+  SELECT p.year, p.month, 'headcount' AS weight, area_cde, cast(count(sale_name) AS double) AS amount
   FROM periods p JOIN sales s ON s.year = p.year AND s.month = 1 JOIN area USING (area_name)
   WHERE ltn IS NOT NULL AND approve IS NOT NULL AND app_in IS NOT NULL AND approval_rate IS NOT NULL
   GROUP BY p.year, p.month, area_cde)"""
@@ -147,16 +265,16 @@ allocated AS (
 
 
 def _level1() -> str:
-    columns = ", ".join(f"m{i}.{m}" for i, m in enumerate(R.LEVEL_1))
+    columns = ", ".join(f"m{i}.{m}" for i, m in enumerate(LEVEL_1))
     joins = " JOIN ".join(
         f"(SELECT year, month, area_cde, cast(round(value) AS bigint) AS {m} FROM allocated WHERE metric = '{m}') m{i}"
         + ("" if i == 0 else " USING (year, month, area_cde)")
-        for i, m in enumerate(R.LEVEL_1)
+        for i, m in enumerate(LEVEL_1)
     )
     return f"level1 AS (SELECT year, month, area_name, {columns} FROM {joins} JOIN area USING (area_cde))"
 
 
-CARD = " + ".join(R.CARD_INCOMES)
+CARD = " + ".join(CARD_METRICS)
 
 SUMMARY = f"""{ALLOCATED}, {_level1()}, income AS (
   SELECT year, month, cast(sum({CARD}) AS double) + cast(sum(rev_business) AS double) AS income FROM level1 GROUP BY ALL),
@@ -168,29 +286,32 @@ summary AS (
   LEFT JOIN (SELECT * FROM pools WHERE metric = 'cost_fund_cctg') c USING (year, month)
   LEFT JOIN (SELECT * FROM pools WHERE metric = 'cost_fund_tt2') t USING (year, month))"""
 
-MEASURES = f"""{SUMMARY}, headcounts AS (SELECT area_name, count(sale_name) AS headcount FROM roster GROUP BY 1),
-step1 AS (
-  SELECT s.*, headcount, {CARD} AS card_income, cost_fund_tt2 + cost_fund_cctg AS net_fund_cost,
-    rev_business + cost_commission + cost_other_business AS net_other, cost_staff + cost_admin + cost_asset AS total_cost
-  FROM summary s JOIN headcounts USING (area_name) WHERE area_name <> 'AFRICA'),
-step2 AS (SELECT *, card_income + net_fund_cost + net_other AS total_income FROM step1),
-step3 AS (SELECT *, total_income + total_cost + cost_provision AS profit_before_tax FROM step2),
-measures AS (
-  SELECT *, round(-cast(total_cost AS double) / nullif(total_income, 0) * 100, 2) AS cir,
-    round(profit_before_tax / nullif(card_income + rev_business, 0) * 100, 2) AS margin,
-    round(-profit_before_tax / nullif(net_fund_cost, 0) * 100, 2) AS return_on_capital,
-    round(profit_before_tax / nullif(headcount, 0), 2) AS profit_per_head
-  FROM step3)"""
+# What each measure is made of; costs are negative amounts.
+FUND_COST = "(cost_fund_tt2 + cost_fund_cctg)"
+OTHER = "(rev_business + cost_commission + cost_other_business)"
+OPERATING_COST = "(cost_staff + cost_admin + cost_asset)"
+INCOME = f"(({CARD}) + {FUND_COST} + {OTHER})"
+PROFIT = f"({INCOME} + {OPERATING_COST} + cost_provision)"
+
+MEASURES = f"""{SUMMARY}, measures AS (
+  SELECT s.*, headcount, {CARD} AS card_income, {FUND_COST} AS net_fund_cost, {OTHER} AS net_other,
+    {OPERATING_COST} AS total_cost, {INCOME} AS total_income, {PROFIT} AS profit_before_tax,
+    round(-cast({OPERATING_COST} AS double) / nullif({INCOME}, 0) * 100, 2) AS cir,
+    round({PROFIT} / nullif({CARD} + rev_business, 0) * 100, 2) AS margin,
+    round(-{PROFIT} / nullif({FUND_COST}, 0) * 100, 2) AS return_on_capital,
+    round({PROFIT} / nullif(headcount, 0), 2) AS profit_per_head
+  FROM summary s JOIN (SELECT area_name, count(sale_name) AS headcount FROM roster GROUP BY 1) USING (area_name)
+  WHERE area_name <> 'AFRICA')"""
 
 WHOLE = ("profit_before_tax", "net_fund_cost", "cost_fund_tt2", "cost_fund_cctg", "total_income")
 
 
 def _wide(source: str = "measures") -> str:
-    columns = [f"cast(round({m}) AS bigint) AS {m}" if m in WHOLE else m for _, m in reshape.CRITERIA]
+    columns = [f"cast(round({m}) AS bigint) AS {m}" if m in WHOLE else m for _, m in MANY_MONTHS]
     return f"SELECT year, month, area_name, {', '.join(columns)} FROM {source}"
 
 
-def _melted(criteria: reshape.Criteria) -> str:
+def _melted(criteria: tuple) -> str:
     branches = [
         f"SELECT year, month, '{label}' AS criterion, {i} AS sort_pos, area_name, "
         + ("cast(0 AS decimal(38,2))" if m is None else f"cast(round({m}, 2) AS decimal(38,2))")
@@ -200,9 +321,9 @@ def _melted(criteria: reshape.Criteria) -> str:
     return f"melted AS ({' UNION ALL '.join(branches)})"
 
 
-def _pivot(criteria: reshape.Criteria) -> str:
+def _pivot(criteria: tuple) -> str:
     cells = ", ".join(
-        f"cast(max(CASE WHEN area_name = '{a}' THEN value END) AS double) AS \"{a}\"" for a in STAR.area_names
+        f"cast(max(CASE WHEN area_name = '{a}' THEN value END) AS double) AS \"{a}\"" for a in REGIONS
     )
     return f"""WITH {{periods}}, {MEASURES}, {_melted(criteria)}
 SELECT year, month, criterion, cast(sort_pos AS integer) AS sort_pos, {cells},
@@ -238,20 +359,22 @@ npl AS (
   FROM (SELECT * FROM before WHERE side = 'bad') b
   JOIN (SELECT * FROM before WHERE side = 'all') a USING (year, month, area_cde))"""
 
-ASM = f"""january AS (SELECT * FROM dense WHERE month = 1), february AS (SELECT * FROM dense WHERE month = 2),
-averages_asm AS (
-  SELECT j.year * 100 + 2 AS month_key, j.area_name, j.email, (j.ltn + f.ltn) / 2 AS ltn_avg,
-    (j.psdn + f.psdn) / 2 AS psdn_avg, j.approval_rate + f.approval_rate AS approve_rate_avg
-  FROM january j JOIN february f USING (email, year)),
-complete_asm AS (
-  SELECT month_key, area_cde AS area_code, area_name, email, ltn_avg, psdn_avg, approve_rate_avg
-  FROM averages_asm JOIN area USING (area_name)
-  WHERE ltn_avg IS NOT NULL AND psdn_avg IS NOT NULL AND approve_rate_avg IS NOT NULL),
+KPI_PLACES = ", ".join(
+    f"rank() OVER (PARTITION BY month_key ORDER BY {k} DESC) AS rank_{k}" for k in ("ltn_avg", "psdn_avg", "approve_rate_avg")
+)
+
+ASM = f"""averages_asm AS (
+  SELECT d.year * 100 + m.month AS month_key, area_name, email,
+    CASE WHEN count(ltn) = m.month THEN sum(ltn) / m.month END AS ltn_avg,
+    CASE WHEN count(psdn) = m.month THEN sum(psdn) / m.month END AS psdn_avg,
+    CASE WHEN count(approval_rate) = m.month
+      THEN list_reduce(list(approval_rate ORDER BY d.month), lambda a, b: a + b) END AS approve_rate_avg
+  FROM dense d JOIN (SELECT cast(unnest(range(1, 13)) AS integer) AS month) m ON d.month <= m.month
+  GROUP BY d.year, m.month, area_name, email),
 kpi_ranks AS (
-  SELECT *, rank() OVER (PARTITION BY month_key ORDER BY ltn_avg DESC) AS rank_ltn_avg,
-    rank() OVER (PARTITION BY month_key ORDER BY psdn_avg DESC) AS rank_psdn_avg,
-    rank() OVER (PARTITION BY month_key ORDER BY approve_rate_avg DESC) AS rank_approve_rate_avg
-  FROM complete_asm)"""
+  SELECT month_key, area_cde AS area_code, area_name, email, ltn_avg, psdn_avg, approve_rate_avg, {KPI_PLACES}
+  FROM averages_asm JOIN area USING (area_name)
+  WHERE ltn_avg IS NOT NULL AND psdn_avg IS NOT NULL AND approve_rate_avg IS NOT NULL)"""
 
 ASM_NPL = f"""{ASM}, asm_npl AS (
   SELECT k.*, npl, rank() OVER (PARTITION BY month_key ORDER BY npl ASC NULLS LAST) AS rank_npl
@@ -259,47 +382,67 @@ ASM_NPL = f"""{ASM}, asm_npl AS (
 
 DENSE_ONLY = _without(DENSE, SALES)
 
-SCORECARD = f"""WITH {FEBRUARY}, {MEASURES}, {_without(NPL, BALANCES)}, {DENSE_ONLY}, {ASM_NPL}, wide AS ({_wide()}),
-scored AS (
-  SELECT a.*, rank_ltn_avg + rank_psdn_avg + rank_approve_rate_avg + rank_npl AS scale_score,
-    cir, margin, return_on_capital, profit_per_head
-  FROM asm_npl a JOIN wide w ON w.area_name = a.area_name AND w.year * 100 + w.month = a.month_key),
-ranked AS (
-  SELECT *, rank() OVER (PARTITION BY month_key ORDER BY scale_score NULLS LAST) AS rank_scale,
-    rank() OVER (PARTITION BY month_key ORDER BY cir NULLS LAST) AS rank_cir,
-    rank() OVER (PARTITION BY month_key ORDER BY margin NULLS LAST) AS rank_margin,
-    rank() OVER (PARTITION BY month_key ORDER BY return_on_capital NULLS LAST) AS rank_return_on_capital,
-    rank() OVER (PARTITION BY month_key ORDER BY profit_per_head NULLS LAST) AS rank_profit_per_head
-  FROM scored),
+# Finance ranks in long form: a manager has a row for each of the four ratios of the region.
+RATIOS = ("cir", "margin", "return_on_capital", "profit_per_head")
+SCALE = "rank_ltn_avg + rank_psdn_avg + rank_approve_rate_avg + rank_npl"
+
+SCORECARD = f"""WITH {ALL_MONTHS}, {MEASURES}, {_without(NPL, BALANCES)}, {DENSE_ONLY}, {ASM_NPL}, ratios AS (
+  SELECT year * 100 + month AS month_key, area_name, unnest([{", ".join(f"'{r}'" for r in RATIOS)}]) AS ratio,
+    unnest([{", ".join(f"cast({r} AS double)" for r in RATIOS)}]) AS value FROM measures),
+places AS (
+  SELECT month_key, email, ratio, value, rank() OVER (PARTITION BY month_key, ratio ORDER BY value NULLS LAST) AS place
+  FROM asm_npl JOIN ratios USING (month_key, area_name)),
 finance AS (
-  SELECT *, rank_cir + rank_margin + rank_return_on_capital + rank_profit_per_head AS finance_score FROM ranked),
-total AS (
-  SELECT *, scale_score + finance_score AS total_score,
-    rank() OVER (PARTITION BY month_key ORDER BY finance_score) AS rank_finance FROM finance)
-SELECT month_key, area_code, area_name, email, total_score,
-  rank() OVER (PARTITION BY month_key ORDER BY total_score) AS rank_final,
+  SELECT month_key, email, cast(sum(place) AS bigint) AS finance_score,
+    {", ".join(f"max(value) FILTER (ratio = '{r}') AS {r}, max(place) FILTER (ratio = '{r}') AS rank_{r}" for r in RATIOS)}
+  FROM places GROUP BY month_key, email)
+SELECT month_key, area_code, area_name, email, {SCALE} + finance_score AS total_score,
+  rank() OVER (PARTITION BY month_key ORDER BY {SCALE} + finance_score) AS rank_final,
   cast(round(ltn_avg) AS bigint) AS ltn_avg, rank_ltn_avg, psdn_avg, rank_psdn_avg,
   round(approve_rate_avg, 6) AS approve_rate_avg, rank_approve_rate_avg, round(npl, 6) AS npl, rank_npl,
-  scale_score, rank_scale, cir, rank_cir, margin, rank_margin, return_on_capital, rank_return_on_capital,
-  cast(round(profit_per_head) AS bigint) AS profit_per_head, rank_profit_per_head, finance_score, rank_finance
-FROM total"""
+  {SCALE} AS scale_score, rank() OVER (PARTITION BY month_key ORDER BY {SCALE}) AS rank_scale,
+  cir, rank_cir, margin, rank_margin, return_on_capital, rank_return_on_capital,
+  cast(round(profit_per_head) AS bigint) AS profit_per_head, rank_profit_per_head, finance_score,
+  rank() OVER (PARTITION BY month_key ORDER BY finance_score) AS rank_finance
+FROM asm_npl JOIN finance USING (month_key, email)"""
 
 
 def _rollup() -> str:
-    ids = {node.code: i for i, node in enumerate(dims.METRIC_TREE, 1)}
+    ids = {code: i for i, (code, _, _) in enumerate(TREE, 1)}
     branches = [
-        f"SELECT year, month, area_name, {ids[n.code]} AS funding_id, '{n.code}' AS funding_code, "
-        f"{'NULL' if n.parent is None else ids[n.parent]} AS funding_parent_id, {n.level} AS funding_level, "
-        f"{ids[n.code]} AS sortorder, round(cast({n.code} AS double), 2) AS amount FROM measures"
-        for n in dims.METRIC_TREE
+        f"SELECT year, month, area_name, {ids[code]} AS funding_id, '{code}' AS funding_code, "
+        f"{'NULL' if parent is None else ids[parent]} AS funding_parent_id, {level} AS funding_level, "
+        f"{ids[code]} AS sortorder, round(cast({code} AS double), 2) AS amount FROM measures"
+        for code, parent, level in TREE
     ]
     return f"WITH {YEAR_END}, {MEASURES} " + " UNION ALL ".join(branches)
 
 
+def _text_pivot() -> str:
+    """Cells as text under display names; ratios and amounts with a fraction have two decimals."""
+    fractions = ("profit_before_tax", "net_fund_cost", "cost_fund_tt2", "cost_fund_cctg", "total_income", *RATIOS)
+    labels = ", ".join(f"'{label}'" for label, m in ONE_MONTH if m in fractions)
+
+    def text(value: str) -> str:
+        return f"CASE WHEN criterion IN ({labels}) THEN cast({value} AS varchar) ELSE cast(cast({value} AS decimal(38,0)) AS varchar) END"
+
+    cells = ", ".join(text(f"max(CASE WHEN area_name = '{a}' THEN value END)") + f' AS "{a}"' for a in REGIONS)
+    total = "cast(coalesce(sum(CASE WHEN criterion NOT LIKE '%Chỉ số tài chính%' THEN value ELSE 0 END), 0) AS decimal(38,2))"
+    return f"""WITH {YEAR_END}, {MEASURES}, {_melted(ONE_MONTH)}
+        SELECT year, month, criterion AS "Tiêu chí", cast(sort_pos AS integer) AS sort_pos, {cells}, {text(total)} AS "Total"
+        FROM melted GROUP BY year, month, criterion, sort_pos ORDER BY year, month, sort_pos"""
+
+
+def _twice(sql: str) -> str:
+    """The same SQL when every posting counts twice."""
+    assert AMOUNT in sql
+    return sql.replace(AMOUNT, "2 * CASE WHEN cost THEN -cents ELSE cents END AS amount")
+
+
 def statements() -> dict[str, str]:
-    level1 = ", ".join(R.LEVEL_1)
-    level1_plus = ", ".join(f"{m} + 1 AS {m}" for m in R.LEVEL_1)
-    level2 = ", ".join(f"round({m}, 2) AS {m}" for m in R.LEVEL_2)
+    level1 = ", ".join(LEVEL_1)
+    level1_plus = ", ".join(f"{m} + 1 AS {m}" for m in LEVEL_1)
+    level2 = ", ".join(f"round({m}, 2) AS {m}" for m in LEVEL_2)
     june = _periods("6")
     sql = {
         "src_ledger": f"""WITH {LEDGER}
@@ -333,14 +476,14 @@ def statements() -> dict[str, str]:
             GROUP BY ALL""",
         "balance_monthly_by_area": f"""WITH {MONTHLY}
             SELECT cast(kpi_month // 100 AS integer) AS year, cast(kpi_month % 100 AS integer) AS month, area_cde, total
-            FROM monthly WHERE weight = '{R.BALANCE_ALL}'""",
+            FROM monthly WHERE weight = 'balance_all'""",
         "balance_by_bucket": f"""WITH {MONTHLY}
             SELECT cast(kpi_month // 100 AS integer) AS year, cast(kpi_month % 100 AS integer) AS month, area_cde, weight, total
             FROM monthly""",
         "balance_avg_of_months": f"""WITH {ALL_MONTHS}, {AVERAGES}
-            SELECT year, month, weight, area_cde, round(amount, 2) AS amount FROM averages WHERE weight <> '{R.ACTIVATIONS}'""",
+            SELECT year, month, weight, area_cde, round(amount, 2) AS amount FROM averages WHERE weight <> 'activations'""",
         "activation_count_weight": f"""WITH {ALL_MONTHS}, {AVERAGES}
-            SELECT year, month, area_cde, cast(amount AS bigint) AS activations FROM averages WHERE weight = '{R.ACTIVATIONS}'""",
+            SELECT year, month, area_cde, cast(amount AS bigint) AS activations FROM averages WHERE weight = 'activations'""",
         "headcount_weight": f"""WITH {YEAR_END}, {HEADS}
             SELECT year, month, area_cde, cast(amount AS bigint) AS headcount FROM heads""",
         "area_weight_share": f"""WITH {YEAR_END}, {WEIGHTS}
@@ -349,7 +492,8 @@ def statements() -> dict[str, str]:
         "headcount_by_area": f"WITH {ROSTER} SELECT area_name, count(sale_name) AS headcount FROM roster GROUP BY 1",
         "asm_complete_filter": f"""WITH {SALES} SELECT year, area_name, sale_name, email FROM sales
             WHERE month = 1 AND ltn IS NOT NULL AND approve IS NOT NULL AND app_in IS NOT NULL AND approval_rate IS NOT NULL""",
-        "asm_complete_all_months": f"""WITH {DENSE} SELECT year, area_name, sale_name, email FROM dense WHERE month <= 2
+        "asm_complete_all_months": f"""WITH {DENSE} SELECT year, m.month, area_name, sale_name, email
+            FROM dense d JOIN (SELECT cast(unnest(range(1, 13)) AS integer) AS month) m ON d.month <= m.month
             GROUP BY ALL HAVING bool_and(ltn IS NOT NULL AND approve IS NOT NULL AND app_in IS NOT NULL AND approval_rate IS NOT NULL)""",
         "pool_allocation": f"""WITH {YEAR_END}, {ALLOCATED}
             SELECT metric, year, month, area_cde, direct, pool, round(allocated, 2) AS allocated, round(value, 2) AS value
@@ -375,16 +519,28 @@ def statements() -> dict[str, str]:
             SELECT *, cast(CASE area_name WHEN 'AMERICA' THEN 1 WHEN 'ASIA' THEN 2 WHEN 'EUROPE' THEN 3
               WHEN 'MIDDLE EAST' THEN 4 ELSE 5 END AS integer) AS sort_pos FROM wide ORDER BY year, month, sort_pos""",
         "multi_month_wide": f"WITH {ALL_MONTHS}, {MEASURES} {_wide()} ORDER BY area_name, year, month",
-        "melt_report": f"""WITH {YEAR_END}, {MEASURES}, {_melted(reshape.CRITERIA_ONE_MONTH)}
+        "melt_report": f"""WITH {YEAR_END}, {MEASURES}, {_melted(ONE_MONTH)}
             SELECT year, month, area_name, criterion, round(cast(value AS double), 2) AS value FROM melted""",
-        "pivot_report": _pivot(reshape.CRITERIA_ONE_MONTH).replace("{periods}", YEAR_END),
-        "multi_month_pivot": _pivot(reshape.CRITERIA).replace("{periods}", ALL_MONTHS),
+        "pivot_report": _pivot(ONE_MONTH).replace("{periods}", YEAR_END),
+        "pivot_report_text": _text_pivot(),
+        "multi_month_pivot": _pivot(MANY_MONTHS).replace("{periods}", ALL_MONTHS),
         "metric_hierarchy_rollup": _rollup(),
         "region_revenue_share": f"""WITH {YEAR_END}, {MEASURES}
             SELECT year, month, area_name,
               round(card_income / sum(card_income) OVER (PARTITION BY year, month) * 100, 2) AS card_income_share,
               round((card_income + rev_business) / sum(card_income + rev_business) OVER (PARTITION BY year, month) * 100, 2)
                 AS revenue_share FROM measures""",
+        "finance_account_sets": _finance(f"""WITH {LEDGER}, {RULES}
+            SELECT metric, account_code, count(*) AS postings, cast(sum(amount) AS bigint) AS amount
+            FROM ledger JOIN rules ON account_code BETWEEN lo AND hi GROUP BY ALL"""),
+        "finance_level1_metrics": _finance(f"""WITH {YEAR_END}, {ALLOCATED}
+            SELECT metric, year, month, area_cde, round(value, 2) AS value FROM allocated"""),
+        "finance_level1_report": _finance(f"WITH {YEAR_END}, {SUMMARY} SELECT year, month, area_name, {level1} FROM level1"),
+        "finance_cost_of_funds": _finance(f"WITH {YEAR_END}, {SUMMARY} SELECT year, month, area_name, {level2} FROM summary"),
+        "stored_wide_report": f"""SELECT * FROM (WITH {june}, {MEASURES} {_wide()})
+            UNION ALL SELECT * FROM ({_twice(f"WITH {YEAR_END}, {MEASURES} {_wide()}")})""",
+        "refreshed_wide_report": _twice(f"WITH {_periods('6, 12')}, {MEASURES} {_wide()}"),
+        "stored_facts_wide_report": f"WITH {YEAR_END}, {MEASURES} {_wide()}",
         "sink_overwrite_roundtrip": f"WITH {YEAR_END}, {MEASURES} {_wide()}",
         "append_if_absent": f"""WITH {june[:-1]} UNION ALL SELECT cast(year AS integer), 12 FROM ({YEARS})), {SUMMARY}
             SELECT year, month, area_name, {level1}, {level2} FROM summary WHERE month = 6
@@ -418,7 +574,7 @@ def statements() -> dict[str, str]:
             SELECT month_key, area_name, email, ltn_avg, psdn_avg, round(approve_rate_avg, 6) AS approve_rate_avg FROM averages_asm""",
         "asm_kpi_ranks": f"""WITH {DENSE}, {AREA}, {ASM}
             SELECT * REPLACE (round(approve_rate_avg, 6) AS approve_rate_avg) FROM kpi_ranks""",
-        "asm_npl_report": f"""WITH {FEBRUARY}, {NPL}, {DENSE}, {AREA}, {ASM_NPL}
+        "asm_npl_report": f"""WITH {ALL_MONTHS}, {NPL}, {DENSE}, {AREA}, {ASM_NPL}
             SELECT * REPLACE (round(approve_rate_avg, 6) AS approve_rate_avg, round(npl, 6) AS npl) FROM asm_npl""",
         "asm_scorecard": SCORECARD,
         "rank_sum_generic": f"""WITH {DENSE}, {AREA}, {ASM}
@@ -426,7 +582,7 @@ def statements() -> dict[str, str]:
               rank_ltn_avg, rank_psdn_avg, rank_approve_rate_avg,
               rank_ltn_avg + rank_psdn_avg + rank_approve_rate_avg AS score FROM kpi_ranks""",
     }
-    for metric in R.LEVEL_1:
+    for metric in LEVEL_1:
         sql[metric] = f"""WITH {YEAR_END}, {ALLOCATED}
             SELECT year, month, area_cde, round(value, 2) AS {metric} FROM allocated WHERE metric = '{metric}'"""
     return sql

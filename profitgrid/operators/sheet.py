@@ -61,14 +61,27 @@ def complete_january(sales: DataFrame) -> DataFrame:
 
 
 def complete_through(sales: DataFrame, periods: Periods) -> DataFrame:
-    """Managers complete in every month up to the report month."""
+    """(year, month, area_name, sale_name, email): managers complete in every month up to each report month."""
     complete = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in COMPLETE])
+    incomplete_from = F.coalesce(
+        *[
+            F.when(~F.coalesce(F.bool_and(F.when(F.col("month") == m, complete)), F.lit(False)), F.lit(m))
+            for m in range(1, periods.last + 1)
+        ],
+        F.lit(periods.last + 1),
+    )
+    report_months = F.array(*[F.lit(m) for m in periods.months])
     return (
         sales.where(periods.year_months())
         .groupBy("year", *_row_of(sales), "area_name", "sale_name", "email")
-        .agg(F.bool_and(complete).alias("complete"), F.count("month").alias("months"))
-        .where(F.col("complete") & (F.col("months") == periods.last))
-        .select("year", "area_name", "sale_name", "email")
+        .agg(incomplete_from.alias("first"))
+        .select(
+            "year",
+            F.explode(F.filter(report_months, lambda m: m < F.col("first"))).alias("month"),
+            "area_name",
+            "sale_name",
+            "email",
+        )
     )
 
 
@@ -80,30 +93,32 @@ def headcount_by_area(roster: DataFrame) -> DataFrame:
 def asm_averages(sales: DataFrame, periods: Periods) -> DataFrame:
     """KPIs per manager over months 1..m: mean of ``ltn`` and ``psdn``, *sum* of approval rates.
 
-    A manager with a month missing gets NULL. The rates are added and not averaged, as the
-    scorecard has always done; ranks do not depend on it.
+    One row per manager and report month m, all from one aggregate per manager and year. A manager
+    with a month missing gets NULL. The rates are added and not averaged, as the scorecard has
+    always done; ranks do not depend on it.
     """
+    kpis = ("ltn", "psdn", "approval_rate")
+    months = range(1, periods.last + 1)
+    cells = [F.max(F.when(F.col("month") == m, F.col(c))).alias(f"{c}_{m}") for c in kpis for m in months]
 
-    def months_of(measure: str) -> Column:
-        cells = [F.max(F.when(F.col("month") == m, F.col(measure))) for m in range(1, periods.last + 1)]
-        return reduce(add, cells)
+    def through(measure: str, last: int) -> Column:
+        return reduce(add, [F.col(f"{measure}_{m}") for m in range(1, last + 1)])
 
+    averages = [
+        F.struct(
+            month_key(F.col("year"), F.lit(m)).alias("month_key"),
+            (through("ltn", m) / m).alias("ltn_avg"),
+            (through("psdn", m) / m).alias("psdn_avg"),
+            through("approval_rate", m).alias("approve_rate_avg"),
+        )
+        for m in periods.months
+    ]
     return (
         sales.where(periods.year_months())
         .groupBy("year", *_row_of(sales), "area_name", "sale_name", "email")
-        .agg(
-            (months_of("ltn") / periods.last).alias("ltn_avg"),
-            (months_of("psdn") / periods.last).alias("psdn_avg"),
-            months_of("approval_rate").alias("approve_rate_avg"),
-        )
-        .select(
-            month_key(F.col("year"), F.lit(periods.last)).alias("month_key"),
-            "area_name",
-            "email",
-            "ltn_avg",
-            "psdn_avg",
-            "approve_rate_avg",
-        )
+        .agg(*cells)
+        .select("area_name", "email", F.explode(F.array(*averages)).alias("a"))
+        .select("a.month_key", "area_name", "email", "a.ltn_avg", "a.psdn_avg", "a.approve_rate_avg")
     )
 
 

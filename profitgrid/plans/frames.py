@@ -33,6 +33,11 @@ class Frames:
     roster: DataFrame
     organisation: Organisation = Organisation()
     sums: DataFrame | None = None
+    january: DataFrame | None = None  # the Januaries of ``sales``, if the source can read them alone
+
+    @property
+    def january_sales(self) -> DataFrame:
+        return self.sales if self.january is None else self.january
 
     @property
     def balance_sums(self) -> DataFrame:
@@ -46,4 +51,4 @@ class Frames:
         """
         balances = self.balances.where(periods.keys("kpi_month"))
         sales = self.sales.where(F.col("year").isin(*periods.years) & (F.col("month") <= periods.last))
-        return replace(self, sums=stored_once(point_sums(balances)), sales=stored_once(sales))
+        return replace(self, sums=stored_once(point_sums(balances)), sales=stored_once(sales), january=None)

@@ -25,7 +25,7 @@ def _sums(frames: Frames, periods: Periods, rules: R.RuleBook) -> DataFrame:
 
 
 def _weights(frames: Frames, periods: Periods, weights: set[str]) -> DataFrame:
-    return W.all_weights(frames.balance_sums, frames.city, frames.sales, frames.area, periods, weights)
+    return W.all_weights(frames.balance_sums, frames.city, frames.january_sales, frames.area, periods, weights)
 
 
 def allocated(frames: Frames, periods: Periods, metrics: Iterable[str] = R.LEVEL_1) -> DataFrame:

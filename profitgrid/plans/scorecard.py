@@ -75,19 +75,18 @@ def scorecard(
     fan_out: bool = True,
     values_per_task: int = VALUES_PER_TASK,
 ) -> DataFrame:
-    """Scale score, finance score, total and final rank of each manager for the last month.
+    """Scale score, finance score, total and final rank of each manager for each report month, in one pass.
 
     All finance ranks are ascending, as the scorecard has always done, although a high margin is
     good; name measures in ``best_high`` to rank them the other way round.
     """
-    month = Periods(periods.years, (periods.last,))
-    frames = frames.stored(month)  # balances and sheet feed both the region report and the ranks
-    finance = wide_report(frames, month).select(
+    frames = frames.stored(periods)  # balances and sheet feed both the region report and the ranks
+    finance = wide_report(frames, periods).select(
         month_key(F.col("year"), F.col("month")).alias("month_key"), "area_name", *FINANCE
     )
     scale = F.col("rank_ltn_avg") + F.col("rank_psdn_avg") + F.col("rank_approve_rate_avg") + F.col("rank_npl")
     rows = (
-        asm_npl_report(frames, month, fan_out, values_per_task)
+        asm_npl_report(frames, periods, fan_out, values_per_task)
         .withColumn("scale_score", scale)
         .join(F.broadcast(finance), ["month_key", "area_name"])  # at most eight rows per month
     )

@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from profitgrid import rules as R
-from profitgrid.functions.columns import ACCOUNTS_PER_CLASS, DIRECT, HEAD, or_default
+from profitgrid.functions.columns import ACCOUNTS_PER_CLASS, DIRECT, HEAD, account_class, or_default
 from profitgrid.operators.sheet import MANAGER, MEASURES, monthly_sheet, sheet_to_long
+from profitgrid.periods import Periods
 from profitgrid.plans.frames import Frames, Organisation
 from profitgrid.rules import MetricRule, RuleBook
 
@@ -45,13 +46,27 @@ STAR_RULES = RuleBook(
 )
 STAR = Organisation(STAR_RULES, "AFRICA", ("AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"))
 
+# The finance company's own accounts, and two of each class that its rules take whole.
+FINANCE = Organisation(R.FINANCE_COMPANY, STAR.head_office, STAR.area_names)
+FINANCE_CHART = tuple(dict.fromkeys(a for r in R.FINANCE_COMPANY.rules for a in r.accounts)) + tuple(
+    _account(number, suffix) for number in R.FINANCE_COMPANY.account_classes for suffix in (1, 2)
+)
+FIRST_COST_CLASS = 79  # of that chart
+
 
 class StarModel:
-    """Model frames over the tables in ``folder``. Tables are read once the frames are used."""
+    """Model frames over the tables in ``folder``. Tables are read once the frames are used.
 
-    def __init__(self, spark: SparkSession, folder: str) -> None:
+    With a ``chart`` the lines are booked on its accounts, part by part, instead of the model's own.
+    """
+
+    def __init__(
+        self, spark: SparkSession, folder: str, organisation: Organisation = STAR, chart: tuple[int, ...] = ()
+    ) -> None:
         self.spark = spark
         self.folder = folder
+        self.organisation = organisation
+        self.chart = chart
         self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
@@ -95,21 +110,32 @@ class StarModel:
         )
 
     @cached_property
-    def ledger(self) -> DataFrame:
+    def postings(self) -> DataFrame:
+        """The ledger's lines before the analysis code of their supplier is looked up."""
         number = F.col("l_linenumber") + 80
         suffix = F.col("l_partkey") % 5
+        account = number.cast("long") * ACCOUNTS_PER_CLASS + suffix
         cost = (number >= 84) | ((number == 83) & (suffix >= 3))
+        if self.chart:
+            place = (F.col("l_partkey") % len(self.chart)).cast("int")
+            account = F.get(F.array(*[F.lit(a) for a in self.chart]), place)
+            number = account_class()
+            cost = number >= FIRST_COST_CLASS
         cents = F.rint(F.col("l_extendedprice") * 100).cast("long")
-        lines = self.table("lineitem").select(
+        lines = self.table("lineitem").withColumn("account_code", account)
+        return lines.select(
             "l_suppkey",
             F.to_date("l_shipdate").alias("transaction_date"),
-            (number.cast("long") * ACCOUNTS_PER_CLASS + suffix).alias("account_code"),
+            "account_code",
             F.concat(F.lit("class "), number.cast("string")).alias("account_description"),
             F.when(cost, -cents).otherwise(cents).alias("amount"),
             F.when(cost, F.lit("D")).otherwise(F.lit("C")).alias("d_c"),
             F.lit(None).cast("int").alias("funding_id"),
         )
-        suppliers = self._suppliers
+
+    @cached_property
+    def ledger(self) -> DataFrame:
+        lines, suppliers = self.postings, self._suppliers
         return lines.join(suppliers, lines["l_suppkey"] == suppliers["s_suppkey"]).select(
             "transaction_date",
             "account_code",
@@ -136,11 +162,18 @@ class StarModel:
 
     @cached_property
     def balances(self) -> DataFrame:
+        return self.balances_of(None)
+
+    def balances_of(self, periods: Periods | None) -> DataFrame:
+        """Balances of all months, or of those that the periods cover; their dates reach the file scan."""
+        rows = self.table("orders")
+        if periods is not None:
+            rows = rows.where(periods.dates("o_orderdate"))
         month = F.year("o_orderdate") * 100 + F.month("o_orderdate")
         principal = F.rint(F.col("o_totalprice") * 100).cast("long")
         closed, turn = F.col("o_orderstatus") == "F", F.col("o_orderkey") % 3
         bucket = F.substring("o_orderpriority", 1, 1).cast("int")
-        orders = self.table("orders").select(
+        orders = rows.select(
             "o_custkey",
             month.cast("long").alias("kpi_month"),
             F.col("o_orderkey").alias("application_id"),
@@ -184,12 +217,13 @@ class StarModel:
     def roster(self) -> DataFrame:
         return self._suppliers.select("area_name", "sale_name", "email")
 
-    @cached_property
-    def _monthly_kpis(self) -> DataFrame:
+    def _monthly_kpis(self, periods: Periods | None = None) -> DataFrame:
         approved = F.count(F.when(F.col("l_returnflag") != "R", 1))
+        lines = self.table("lineitem")
+        if periods is not None:
+            lines = lines.where(periods.dates("l_shipdate"))
         return (
-            self.table("lineitem")
-            .groupBy("l_suppkey", F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month"))
+            lines.groupBy("l_suppkey", F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month"))
             .agg(
                 F.nullif(F.count(F.when(F.col("l_linenumber") == 1, 1)), F.lit(0)).alias("ltn"),
                 F.sum(F.col("l_quantity").cast("long")).alias("psdn"),
@@ -202,7 +236,11 @@ class StarModel:
     @cached_property
     def sales(self) -> DataFrame:
         """KPIs of the months in which a manager had any line."""
-        monthly, suppliers = self._monthly_kpis, self._suppliers
+        return self.sales_of(None)
+
+    def sales_of(self, periods: Periods | None) -> DataFrame:
+        """The same for the months that the periods cover; their dates reach the file scan."""
+        monthly, suppliers = self._monthly_kpis(periods), self._suppliers
         return monthly.join(suppliers, monthly["l_suppkey"] == suppliers["s_suppkey"]).select(
             F.col("s_suppkey").alias(MANAGER), "area_name", "sale_name", "email", "year", "month", *MEASURES
         )
@@ -211,12 +249,25 @@ class StarModel:
         """The wide sheet of the years: every manager, NULL where a month has no line."""
         each_year = F.explode(F.array(*[F.lit(y) for y in years]))
         managers = self._suppliers.withColumn("year", each_year).withColumnRenamed("s_suppkey", "l_suppkey")
-        cells = monthly_sheet(self._monthly_kpis, ["l_suppkey", "year"], months)
+        cells = monthly_sheet(self._monthly_kpis(), ["l_suppkey", "year"], months)
         wide = managers.join(cells, ["l_suppkey", "year"], "left").drop("analysis_code")
         return wide.withColumnRenamed("l_suppkey", MANAGER)
 
     def sales_of_all_months(self, years: tuple[int, ...], months: int = 12) -> DataFrame:
         return sheet_to_long(self.sheet(years, months))
 
-    def frames(self) -> Frames:
-        return Frames(self.ledger, self.balances, self.city, self.area, self.sales, self.roster, STAR)
+    def frames(self, periods: Periods | None = None) -> Frames:
+        """Frames for reports of any periods, or of the given ones: then ``orders`` is read for them only.
+
+        The headcount looks at January alone, so its scan of the lines is bounded by dates, too.
+        """
+        return Frames(
+            self.ledger,
+            self.balances_of(periods),
+            self.city,
+            self.area,
+            self.sales if periods is None else self.sales_of(periods),
+            self.roster,
+            self.organisation,
+            january=self.sales_of(Periods(periods.years if periods else self.years, (1,))),
+        )

@@ -118,6 +118,8 @@ def test_headcount_needs_a_complete_january_whatever_the_month(spark):
     assert as_set(complete_january(kpis), "sale_name") == {("a",), ("c",)}
     assert as_set(complete_through(kpis, FEB), "sale_name") == set()
     assert as_set(complete_through(kpis, Periods.of(2023, 1)), "sale_name") == {("a",), ("c",)}
+    both = complete_through(kpis, Periods.months_of(2023, 1, 2))
+    assert as_set(both, "month", "sale_name") == {(1, "a"), (1, "c")}
 
 
 def test_shares_add_up_to_one(spark):

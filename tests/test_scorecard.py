@@ -141,6 +141,15 @@ def test_scorecard_by_value_ranges_equals_plain_windows(spark, small):
     assert as_set(plain, *plain.columns) == as_set(ranged, *plain.columns)
 
 
+def test_scorecard_of_many_months_equals_each_month_alone(spark, small):
+    from profitgrid.sources.star import StarModel
+
+    model = StarModel(spark, small.replace("0.001", "0.01")).frames()
+    together = scorecard.scorecard(model, Periods((1997,), (1, 3))).collect()
+    alone = [r for m in (1, 3) for r in scorecard.scorecard(model, Periods.of(1997, m)).collect()]
+    assert together and sorted(together) == sorted(alone)
+
+
 def test_finance_ranks_can_be_turned_round(spark, small):
     from profitgrid.sources.star import StarModel
 
