@@ -5,7 +5,8 @@ some two million words of whole documents and positions count through the shard.
 the text is read, so the index costs no shuffle. A benchmark item becomes windows of ten words. For each
 shard the lists of a window's terms are intersected from the rarest on, each list moved back by the term's
 offset; most windows end at a term that the shard lacks. What is left are exact phrase matches. Proximity
-matches are texts where an item's three rarest terms stand close together in any order.
+matches are texts where an item's three rarest terms stand close together in any order. Rarest is counted
+over all shards and among the terms that some text has, so neither shards nor partitions change a match.
 
 The benchmark is handled in blocks of items of a bounded number of words: only the words of one block
 travel to the executors, and the shards read only the postings of its terms, so neither side needs to be
@@ -139,23 +140,38 @@ def phrase_starts(lists: dict[str, np.ndarray], window: tuple[str, ...]) -> np.n
     return starts
 
 
-def near_places(lists: dict[str, np.ndarray], terms: set[str], near: int) -> np.ndarray:
-    """Positions of the rarest term that have the two next rarer ones within ``near`` words, in any order."""
-    if any(t not in lists for t in terms):
+def rarest(terms: set[str], counts: dict[str, int]) -> list[str]:
+    """The three terms with the lowest counts, rarest first; terms without a count are in no text. Empty if
+    fewer are left than an item of so many terms needs."""
+    rare = sorted((t for t in terms if t in counts), key=lambda t: (counts[t], t))[:3]
+    return rare if len(rare) == min(3, len(terms)) else []
+
+
+def near_places(
+    lists: dict[str, np.ndarray], terms: Iterable[str], near: int, starts: np.ndarray | None = None
+) -> np.ndarray:
+    """Positions of the first of ``terms`` that have the others within ``near`` words, in any order, and in
+    the same document of ``starts``. A set has no first term; its rarest one in ``lists`` is taken."""
+    if not terms or any(t not in lists for t in terms):
         return np.zeros(0, np.int32)
-    rare = sorted(terms, key=lambda t: (len(lists[t]), t))[:3]
-    at = lists[rare[0]]
-    for t in rare[1:]:
+    first, *others = sorted(terms, key=lambda t: (len(lists[t]), t)) if isinstance(terms, set) else terms
+    at = lists[first]
+    for t in others:
         if not len(at):
             break
-        after = np.searchsorted(lists[t], at - near)
+        low, high = at - near, at + near
+        if starts is not None:
+            doc = np.searchsorted(starts, at, side="right") - 1
+            low, high = np.maximum(low, starts[doc]), np.minimum(high, starts[doc + 1] - 1)
+        after = np.searchsorted(lists[t], low)
         close = lists[t][np.minimum(after, len(lists[t]) - 1)]
-        at = at[np.abs(close - at) <= near]
+        at = at[(close >= low) & (close <= high)]
     return at
 
 
-def _search(items: list, size: int, near: int, id_type: str):
+def _search(items: list, size: int, near: int, id_type: str, counts: dict[str, int]):
     windows = _windows(items, size)
+    rare = [rarest(set(w), counts) for _, w in items]
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         documents = rows[rows.term.isnull()].iloc[0]
@@ -175,8 +191,8 @@ def _search(items: list, size: int, near: int, id_type: str):
             np.add.at(hit, at + len(window), -1)
             for d in np.unique(doc).tolist():
                 exact[d].update(which)
-        for k, (_, w) in enumerate(items):
-            at = near_places(lists, set(w), near)
+        for k, terms in enumerate(rare):
+            at = near_places(lists, terms, near, starts)
             for d in np.unique(np.searchsorted(starts, at, side="right") - 1).tolist():
                 close[d].add(k)
         covered = np.concatenate([[0], np.cumsum(np.cumsum(hit[:-1]) > 0)])
@@ -213,11 +229,13 @@ def matches(
         if not items:
             continue
         terms = spark.createDataFrame([(t,) for t in sorted({t for _, w in items for t in w})], "term string")
+        counts = index.select("term", "n").join(F.broadcast(terms), "term", "left_semi").groupBy("term")
+        counts = {r.term: r.n for r in counts.agg(F.sum("n").alias("n")).collect()}
         needed = index.select("shard", "term", "positions").join(F.broadcast(terms), "term", "left_semi")
         rows = needed.withColumn("starts", F.lit(None).cast("array<bigint>")).unionByName(
             index.where(F.col("term").isNull()).select("shard", "term", "positions", "starts")
         )
-        run, schema = _search(items, window, near, id_type)
+        run, schema = _search(items, window, near, id_type, counts)
         block = rows.groupBy("shard").applyInPandas(run, schema)
         found = block if found is None else found.union(block)
     return found
@@ -281,6 +299,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(documents, table(spark, sf_dir, "benchmark", "item_id", "text")).drop("n_near_items")
 
 
+def op3_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns of ``op3_decontamination``, and ``n_near_items``, the items with a proximity match."""
+    documents = table(spark, sf_dir, "documents", "doc_id", "text")
+    return contamination(documents, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
 SQL = f"""
 WITH d AS (
   SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from profitgrid.llm import chat_trees, decontaminate, exact_topk, line_dedup, secrets
 from profitgrid.llm.bpe_codec import op10_bpe_codec
 from profitgrid.llm.chat_trees import op8_chat_trees
-from profitgrid.llm.decontaminate import op3_decontamination
+from profitgrid.llm.decontaminate import op3_decontamination, op3_proximity
 from profitgrid.llm.exact_topk import op2_exact_topk
 from profitgrid.llm.line_dedup import op5_line_dedup
 from profitgrid.llm.secrets import op1_secret_scan
@@ -23,12 +23,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = [
         op1_secret_scan, op2_exact_topk, op3_decontamination, op4_toxicity, op5_line_dedup,
         op6_simhash, op7_token_counts, op8_chat_trees, op9_suffix_dedup, op10_bpe_codec,
+        op3_proximity,
     ]
     return {q.__name__: q for q in every}
 
 
 def oracle_sql() -> dict[str, str]:
-    """The others have no SQL: fitted models, XXH64, tokenizers, and byte strings too many for a table."""
+    """The others have no SQL: fitted models, XXH64, tokenizers, proximity, and byte strings too many for a table."""
     return {
         "op1_secret_scan": secrets.SQL,
         "op2_exact_topk": exact_topk.SQL,
