@@ -27,8 +27,12 @@ def toxic_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines_out(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the boilerplate lines of their source; n_chars follows the text."""
-    kept = line_dedup.drop_boilerplate(docs, "source")
+    """Documents without the boilerplate lines of their source; n_chars follows the text.
+
+    Copies of a text count once, or the lines of a document with many copies would go from all of them and
+    the next stage could not keep one.
+    """
+    kept = line_dedup.drop_boilerplate(docs, "source", copies=False)
     size = F.when(kept["n_dropped"] > 0, F.char_length("text").cast("bigint")).otherwise(F.col("n_chars"))
     return kept.withColumn("n_chars", size).select(*docs.columns)
 

@@ -7,6 +7,10 @@ of all pages, or a line on all of them, is a few rows per task. A page has at mo
 boilerplate lines per host, which come as one array per host; Spark joins it to the pages, broadcast only
 if its measured size is small, otherwise by sort-merge, where a hot host is split.
 
+The query counts every page, as its SQL does, so lines of a page with many copies are boilerplate. With
+``copies=False`` pages of a host with the same text count as one, which leaves copies of whole pages to a
+later stage; digests of the texts are shuffled too, then.
+
 Defined cases: a NULL text stays NULL and counts as a page without lines; blank lines are kept and never
 counted; surrounding spaces do not matter; a line counts once per page; repeated rows are pages of their
 own; NULL is a host like any other; a page whose lines all go becomes an empty text, never a lost row;
@@ -34,23 +38,39 @@ def _lines(text: Column) -> Column:
 
 
 def boilerplate(
-    pages: DataFrame, host: str, text: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES
+    pages: DataFrame,
+    host: str,
+    text: str = "text",
+    ratio: float = RATIO,
+    least_pages: int = LEAST_PAGES,
+    copies: bool = True,
 ) -> DataFrame:
-    """(host, n_pages, lines): for each host with boilerplate the digests of these lines."""
+    """(host, n_pages, lines): for each host with boilerplate the digests of these lines. Unless ``copies``,
+    pages of a host with the same text count as one, in ``n_pages`` too."""
     once = F.array_distinct(F.filter(F.transform(_lines(F.col(text)), F.trim), lambda line: line != ""))
-    lines = pages.select(F.col(host).alias("host"), F.explode(once).alias("line"))
-    counts = lines.groupBy("host", F.unhex(F.md5("line")).alias("line")).agg(F.count("*").alias("n"))
-    totals = pages.groupBy(F.col(host).alias("site")).agg(F.count("*").alias("n_pages"))
+    page = [] if copies else [F.unhex(F.md5(text)).alias("page")]
+    lines = pages.select(F.col(host).alias("host"), *page, F.explode(once).alias("line"))
+    lines = lines.withColumn("line", F.unhex(F.md5("line")))
+    sites = pages.select(F.col(host).alias("site"), *page)
+    if not copies:
+        lines, sites = lines.distinct(), sites.distinct()
+    counts = lines.groupBy("host", "line").agg(F.count("*").alias("n"))
+    totals = sites.groupBy("site").agg(F.count("*").alias("n_pages"))
     common = counts.where(F.col("n") >= least_pages).join(totals, F.col("host").eqNullSafe(F.col("site")))
     common = common.where(F.col("n") / F.col("n_pages") > ratio)
     return common.groupBy("host", "n_pages").agg(F.collect_list("line").alias("lines"))
 
 
 def drop_boilerplate(
-    pages: DataFrame, host: str, text: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES
+    pages: DataFrame,
+    host: str,
+    text: str = "text",
+    ratio: float = RATIO,
+    least_pages: int = LEAST_PAGES,
+    copies: bool = True,
 ) -> DataFrame:
     """All columns of ``pages`` with boilerplate lines taken out of the text, and ``n_lines``, ``n_dropped``."""
-    found = boilerplate(pages, host, text, ratio, least_pages)
+    found = boilerplate(pages, host, text, ratio, least_pages, copies)
     found = found.select(F.col("host").alias(f"{DROP}_host"), F.col("lines").alias(DROP))
     joined = pages.join(found, F.col(host).eqNullSafe(F.col(f"{DROP}_host")), "left")
     bad = F.col(DROP)
