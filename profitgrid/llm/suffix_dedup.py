@@ -10,8 +10,9 @@ sorting on the bucket identifiers of other offsets, for the positions that are s
 2. First refinement: by the identifier of the surroundings, all bytes of strings through the sample. Equal
    surroundings decide all these strings at once: they repeat.
 3. Undecided strings, those whose smallest gram is open and that hold no decided sample, are refined one by
-   one on the identifiers at offsets 0 and q, which together are the whole string. Decided positions of
-   their buckets take part once per different surroundings, as the other occurrence.
+   one on the identifiers of half the string, rounded up, at its start and at its end, which together are
+   the whole string. Decided positions of their buckets take part once per different surroundings, as the
+   other occurrence.
 
 Identifiers are hashes of the bytes, so a "pointer" to a later offset needs no look-up in another task.
 The identity of a string in step 3 has 128 bits. Within a task equal surroundings and equal strings are
@@ -219,7 +220,9 @@ def _open_strings(length: int):
                 asked = np.isin(own, ids[at[kind == EDGE]]) & ~_strings_through(n, at[kind != EDGE], length)
                 start = np.flatnonzero(np.isin(own, ids[at[kind != RESOLVED]]))
                 same = np.full(len(start), key), np.full(len(start), more)
-                parts.append((*same, start, ids[start], ids[start + q], asked[start]))
+                # an odd length is one byte more than two of the q-grams
+                halves = block.grams(length - q)
+                parts.append((*same, start, halves[start], halves[start + q], asked[start]))
             key, more, start, a, b, asked = _joined(parts, 6)
             first, n = _first_of_equal(a, b)
             known = ~first | (n > 1)
