@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -44,7 +46,7 @@ def per_row(
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = make()
-        for batch in batches:
+        for batch in small(batches):
             rows = [function(t or "") for t in batch.column(text).to_pylist()]
             columns = [batch.column(f.name) for f in kept]
             made = [pa.array(c) for c in zip(*rows, strict=True)] if rows else [pa.array([]) for _ in names]
@@ -54,22 +56,31 @@ def per_row(
     return df.mapInArrow(run, f"{before}, {schema}" if before else schema)
 
 
+def small(batches: Iterable[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``rows``. Spark's batches have at most 64 MB, in the form of Arrow;
+    what Python makes of them is several times as large."""
+    for batch in batches:
+        for at in range(0, max(1, len(batch)), rows):
+            yield batch.slice(at, rows)
+
+
 def prepare(spark: SparkSession) -> None:
-    """Before Python runs in tasks: small Arrow batches, since texts can be long, and this package there.
+    """Before Python runs in tasks: this package on every executor.
 
     Where the package is not on the path of every Python that the session starts (a folder of PYTHONPATH or
-    the working folder), Spark sends it along.
+    the working folder), Spark sends it along. Executors fetch the archive when they first need it, and new
+    ones later, so the driver keeps it until it ends.
     """
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     root = Path(__file__).resolve().parents[2]
     context = spark.sparkContext
     known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
     if str(root) in known or getattr(context, "_profitgrid_sent", False):
         return
-    with tempfile.TemporaryDirectory() as folder:
-        archive = f"{folder}/profitgrid.zip"
-        with zipfile.ZipFile(archive, "w") as file:
-            for source in sorted((root / "profitgrid").rglob("*.py")):
-                file.write(source, source.relative_to(root))
-        context.addPyFile(archive)
-        context._profitgrid_sent = True
+    folder = tempfile.mkdtemp(prefix="profitgrid-code-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = f"{folder}/profitgrid.zip"
+    with zipfile.ZipFile(archive, "w") as file:
+        for source in sorted((root / "profitgrid").rglob("*.py")):
+            file.write(source, source.relative_to(root))
+    context.addPyFile(archive)
+    context._profitgrid_sent = True

@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profitgrid.llm.common import prepare, stored, table, whole_text
+from profitgrid.llm.common import prepare, small, stored, table, whole_text
 
 WINDOW = 10
 SHARD_WORDS = 2_000_000
@@ -73,7 +73,7 @@ def _index(shard_words: int):
         terms: defaultdict[str, int] = defaultdict()
         terms.default_factory = terms.__len__
         docs, ids, held = [], [], 0
-        for batch in batches:
+        for batch in small(batches):
             id_type = batch.column("doc_id").type
             for doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text")), strict=True):
                 found = words(text)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from profitgrid.llm.common import prepare, stored, table
+from profitgrid.llm.common import prepare, small, stored, table
 
 K = 20
 SCALE = 64
@@ -158,7 +158,7 @@ def _best(rows: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.
 def _search(k: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, lists = None, None
-        for batch in batches:
+        for batch in small(batches):
             for row in batch.to_pylist():
                 if row["block"] != block:
                     block, ids = row["block"], np.frombuffer(row["ids"], "<i8")

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profitgrid.llm.common import per_row, stored, table, whole_text
+from profitgrid.llm.common import per_row, small, stored, table, whole_text
 from profitgrid.llm.components import components
 
 SHINGLE = 3
@@ -134,7 +134,7 @@ def _forest(left: np.ndarray, right: np.ndarray, distance: int) -> Iterator[tupl
 
 def _links(distance: int) -> Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             ends: list[tuple[int, int]] = []
             for zeros, ones, whole in zip(*(batch.column(c) for c in ("zeros", "ones", "whole")), strict=True):
                 a, b = (x.values.to_numpy(zero_copy_only=False).view(np.uint64) for x in (zeros, ones))

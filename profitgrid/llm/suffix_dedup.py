@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from profitgrid.llm.common import prepare, stored, table
+from profitgrid.llm.common import prepare, small, stored, table
 from profitgrid.llm.grams import Block
 
 LENGTH = 200
@@ -95,7 +95,7 @@ def _samples(length: int):
     q = length // 2
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             parts = []
             for strings in _blocks(batch):
                 block = Block.of(strings)
@@ -169,7 +169,7 @@ RESULT = "n_removed bigint, n_spans bigint, kept_sha256 string"
 
 
 def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in small(batches):
         raws = [(t or "").encode() for t in batch.column("text").to_pylist()]
         key, more = _places(raws)
         columns = [batch.column("doc_id"), pa.array(key), pa.array(more), pa.array(raws, pa.binary())]
@@ -182,7 +182,7 @@ def _settle(length: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shown = set()
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             for doc_id, key, more, raw, marks in zip(*(batch.column(c).to_pylist() for c in range(5)), strict=True):
                 marks = np.array(marks or [], np.int64)
@@ -210,7 +210,7 @@ def _open_strings(length: int):
     q = length // 2
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             parts = []
             for key, more, raw, marks in zip(*(batch.column(c).to_pylist() for c in range(4)), strict=True):
                 marks, n = np.array(marks, np.int64), len(raw)
@@ -239,7 +239,7 @@ def _open_strings(length: int):
 
 def _finish(length: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             for raw, marks, starts in zip(*(batch.column(c).to_pylist() for c in range(2, 5)), strict=True):
                 marks = np.array(marks, np.int64)
