@@ -581,6 +581,32 @@ def statements() -> dict[str, str]:
             SELECT month_key, area_name, email, ltn_avg, psdn_avg, round(approve_rate_avg, 6) AS approve_rate_avg,
               rank_ltn_avg, rank_psdn_avg, rank_approve_rate_avg,
               rank_ltn_avg + rank_psdn_avg + rank_approve_rate_avg AS score FROM kpi_ranks""",
+        "rank_sum_weighted": f"""WITH {DENSE}, {AREA}, {ASM}
+            SELECT month_key, area_name, email, ltn_avg, psdn_avg, round(approve_rate_avg, 6) AS approve_rate_avg,
+              rank_ltn_avg, rank_psdn_avg, rank_approve_rate_avg,
+              3 * rank_ltn_avg + 2 * rank_psdn_avg + rank_approve_rate_avg AS score FROM kpi_ranks""",
+        "incremental_wide_report": f"WITH {YEAR_END}, {MEASURES} {_wide()}",
+        "stored_hierarchy_rollup": _rollup(),
+        "csv_load_audit": f"""WITH {BALANCES}, {_without(LEDGER, NATIONS)}, {ROSTER}
+            SELECT 'ledger' AS "table", NULL AS reason, count(*) AS rows, cast(sum(amount) AS bigint) AS total FROM ledger
+            UNION ALL SELECT 'balances', NULL, count(*), cast(sum(outstanding_principal) AS bigint) FROM balances
+            UNION ALL SELECT 'sheet', NULL, (SELECT count(*) FROM roster) * (SELECT count(*) FROM ({YEARS})),
+              (SELECT cast(sum(cast(l_quantity AS bigint)) AS bigint) FROM lineitem JOIN roster ON l_suppkey = s_suppkey
+               WHERE month(l_shipdate) = 1)
+            UNION ALL SELECT t, r, 1, NULL FROM (VALUES
+              ('ledger', 'malformed'), ('ledger', 'amount is missing'), ('balances', 'malformed'), ('balances', 'pos_cde is missing'),
+              ('sheet', 'malformed'), ('sheet', 'sale_name is missing')) v(t, r)""",
+        "dimension_serials": f"""WITH {BALANCES}, numbered AS (
+              SELECT pos_cde, area_cde, pos_city, cast(split_part(pos_cde, '-', 1) AS integer) AS nation FROM city)
+            SELECT pos_cde, CASE WHEN nation % 4 = 0 THEN lower(pos_city) ELSE pos_city END AS pos_city, area_cde,
+              (SELECT count(*) FROM city) AS serials,
+              CASE WHEN nation % 2 = 0 THEN 1 ELSE 1 + (SELECT count(*) FROM numbered WHERE nation % 2 = 0) END AS lowest,
+              CASE WHEN nation % 2 = 0 THEN (SELECT count(*) FROM numbered WHERE nation % 2 = 0) ELSE (SELECT count(*) FROM city) END AS highest,
+              CASE WHEN nation % 2 = 0 THEN (SELECT count(*) FROM numbered WHERE nation % 2 = 0)
+                ELSE (SELECT count(*) FROM numbered WHERE nation % 2 = 1) END AS rows,
+              nation % 2 = 0 AS loaded_first, nation % 4 = 0 AND pos_city <> lower(pos_city) AS updated_later,
+              nation % 2 = 1 OR nation % 4 = 0 AND pos_city <> lower(pos_city) AS stamp_of_second_load
+            FROM numbered""",
     }
     for metric in LEVEL_1:
         sql[metric] = f"""WITH {YEAR_END}, {ALLOCATED}

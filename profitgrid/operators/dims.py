@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from profitgrid.functions.columns import HEAD_OFFICE_LETTER
+from profitgrid.session import stored_once
 
 HEAD_OFFICE = "Hội Sở"
 
@@ -170,14 +171,49 @@ def metric_ancestors(spark: SparkSession, tree: tuple[MetricNode, ...] = METRIC_
     return spark.createDataFrame(pa.Table.from_pylist(rows))
 
 
-def roll_up(leaf_amounts: DataFrame, keys: list[str]) -> DataFrame:
-    """Sum leaf amounts (``keys``, metric, amount) to every node of the metric tree.
+class Circle(ValueError):
+    """A node of a hierarchy is its own ancestor."""
+
+
+def ancestors(nodes: DataFrame, node: str, parent: str) -> DataFrame:
+    """(node, ancestor, distance): every node with all of its ancestors, itself at distance 0.
+
+    ``nodes`` is a table of any depth with one row per node; a NULL parent makes a root, a parent without a
+    row of its own an ancestor like any other. Each round joins the known paths with each other, which
+    doubles their length, so rounds follow the logarithm of the depth. A circle raises ``Circle``.
+    """
+    parents = nodes.select(F.col(node).alias("node"), F.col(parent).alias("ancestor")).where(F.col("node").isNotNull())
+    paths = stored_once(parents.where(F.col("ancestor").isNotNull()).distinct().withColumn("distance", F.lit(1)))
+    reach = 1
+    while True:
+        circle = paths.where(F.col("node") == F.col("ancestor")).limit(3).collect()
+        if circle:
+            raise Circle(f"own ancestors: {sorted(str(r['node']) for r in circle)}")
+        longest = paths.where(F.col("distance") == reach)
+        if not longest.head(1):
+            break
+        further = paths.select(F.col("node").alias("_node"), F.col("ancestor").alias("_ancestor"), F.col("distance").alias("_more"))
+        joined = longest.join(further, longest["ancestor"] == further["_node"])
+        longer = joined.select("node", F.col("_ancestor").alias("ancestor"), (F.col("distance") + F.col("_more")).alias("distance"))
+        paths, reach = stored_once(paths.union(longer)), 2 * reach
+    themselves = parents.select("node", F.col("node").alias("ancestor"), F.lit(0).alias("distance")).distinct()
+    return paths.union(themselves)
+
+
+def roll_up(leaf_amounts: DataFrame, keys: list[str], dimension: DataFrame | None = None) -> DataFrame:
+    """Sum leaf amounts (``keys``, metric, amount) to every node of a metric dimension, by default the fixed one.
 
     Amounts are added as decimals, since a sum of doubles would depend on the order of the rows.
     """
     spark = leaf_amounts.sparkSession
-    pairs = F.broadcast(metric_ancestors(spark))  # as long as the tree
-    dimension = F.broadcast(metric_dimension(spark))
+    if dimension is None:
+        pairs = F.broadcast(metric_ancestors(spark))  # as long as the tree
+        dimension = F.broadcast(metric_dimension(spark))
+    else:
+        by_id = ancestors(dimension, "funding_id", "funding_parent_id")
+        codes = [dimension.select(F.col("funding_id").alias(c), F.col("funding_code").alias(n))
+                 for c, n in (("node", "leaf"), ("ancestor", "ancestor_code"))]
+        pairs = by_id.join(codes[0], "node").join(codes[1], "ancestor").select("leaf", F.col("ancestor_code").alias("ancestor"))
     sums = (
         leaf_amounts.join(pairs, leaf_amounts["metric"] == pairs["leaf"])
         .groupBy(*keys, "ancestor")

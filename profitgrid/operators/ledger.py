@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from profitgrid.functions.columns import AREA_LETTERS, HEAD, account_class, area_letter, is_direct, is_head
@@ -24,9 +24,7 @@ def postings_in_scope(
     """
     if {"year", "month"} <= set(ledger.columns):
         ledger = ledger.where(periods.year_months())
-    direct = is_direct()
-    if letters is not None:
-        direct = direct & area_letter().isin(*letters)
+    direct = _direct(letters)
     return ledger.where(
         periods.dates("transaction_date")
         & rules.has_account()
@@ -41,6 +39,15 @@ def postings_in_scope(
     )
 
 
+def _direct(letters: tuple[str, ...] | None) -> Column:
+    return is_direct() if letters is None else is_direct() & area_letter().isin(*letters)
+
+
+def scope(letters: tuple[str, ...] | None = AREA_LETTERS) -> Column:
+    """HEAD, the region letter, or NULL for a posting that no report takes."""
+    return F.when(is_head(), F.lit(HEAD)).when(_direct(letters), area_letter())
+
+
 def monthly_by_rule_key(
     ledger: DataFrame,
     periods: Periods,

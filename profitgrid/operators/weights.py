@@ -75,7 +75,7 @@ def balance_weights(
 def headcount_weights(sales: DataFrame, area: DataFrame, periods: Periods) -> DataFrame:
     """Sales managers per region with a complete January, the same for each month of the year."""
     per_name = (
-        complete_january(sales.where(F.col("year").isin(*periods.years)))
+        complete_january(sales.where(periods.in_years("year")))
         .groupBy("year", "area_name")
         .agg(F.count("sale_name").cast("double").alias("amount"))
     )

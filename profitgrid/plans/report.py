@@ -21,11 +21,11 @@ KEY = ["year", "month", "area_name"]
 
 
 def _sums(frames: Frames, periods: Periods, rules: R.RuleBook) -> DataFrame:
-    return L.year_to_date(L.monthly_by_rule_key(frames.ledger, periods, rules), periods, rules)
+    return L.year_to_date(frames.monthly_sums(periods, rules), periods, rules)
 
 
 def _weights(frames: Frames, periods: Periods, weights: set[str]) -> DataFrame:
-    return W.all_weights(frames.balance_sums, frames.city, frames.january_sales, frames.area, periods, weights)
+    return W.all_weights(frames.balance_sums, frames.city, frames.january_sales(periods), frames.area, periods, weights)
 
 
 def allocated(frames: Frames, periods: Periods, metrics: Iterable[str] = R.LEVEL_1) -> DataFrame:
@@ -52,7 +52,7 @@ def interest_in_term_by_name(frames: Frames, periods: Periods, months: tuple[int
     rules = frames.organisation.rules.only(["interest_in_term"])
     in_set = F.col("month").isin(*months)
     monthly = L.monthly_by_rule_key(frames.ledger, periods, rules, letters=None).where(in_set)
-    keys = F.col("kpi_month").isin(*[y * 100 + m for y in periods.years for m in months])
+    keys = periods.of_months(*months).keys("kpi_month") & (F.col("kpi_month") % 100).isin(*months)
     balances = W.monthly_by_area(frames.balance_sums, frames.city, keys, rules.weights)
     weights = W.with_total(W.over_report_months(balances, periods))
     values = A.allocate(L.year_to_date(monthly, periods, rules), weights)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,21 +18,25 @@ from profitgrid.plans.report import wide_report
 MONTH = ["month_key"]
 KPIS = ("ltn_avg", "psdn_avg", "approve_rate_avg")
 KPI_RANKS = [Rank(c, f"rank_{c}", descending=True) for c in KPIS]
-NPL_RANK = Rank("npl", "rank_npl", spread="few")  # one ratio per region
+NPL_RANK = Rank("npl", "rank_npl", among="has_npl")
 FINANCE = ("cir", "margin", "return_on_capital", "profit_per_head")
 
 
-def kpi_ranks(
-    frames: Frames, periods: Periods, values_per_task: int = VALUES_PER_TASK
-) -> DataFrame:
-    """Managers with all three KPIs, each KPI ranked within the month, highest first."""
-    rows = (
+def _managers(frames: Frames, periods: Periods) -> DataFrame:
+    """Managers with all three KPIs and a region of the dimension."""
+    return (
         asm_averages(frames.sales, periods)
         .dropna(subset=list(KPIS))
         .join(F.broadcast(frames.area), "area_name")  # one row per region letter
         .withColumnRenamed("area_cde", "area_code")
     )
-    return add_ranks(rows, MONTH, KPI_RANKS, values_per_task)
+
+
+def kpi_ranks(
+    frames: Frames, periods: Periods, values_per_task: int = VALUES_PER_TASK
+) -> DataFrame:
+    """Managers with all three KPIs, each KPI ranked within the month, highest first."""
+    return add_ranks(_managers(frames, periods), MONTH, KPI_RANKS, values_per_task)
 
 
 def npl_by_area(frames: Frames, periods: Periods, fan_out: bool = True) -> DataFrame:
@@ -40,6 +46,13 @@ def npl_by_area(frames: Frames, periods: Periods, fan_out: bool = True) -> DataF
     )
 
 
+def _with_npl(frames: Frames, periods: Periods, fan_out: bool) -> DataFrame:
+    """Managers, the NPL ratio of their region, and whether the region has one at all."""
+    ratios = npl_by_area(frames, periods, fan_out).withColumn("has_npl", F.lit(True))
+    rows = _managers(frames, periods).join(F.broadcast(ratios), ["month_key", "area_code"], "left")  # at most eight per month
+    return rows.withColumn("has_npl", F.coalesce("has_npl", F.lit(False)))
+
+
 def asm_npl_report(
     frames: Frames,
     periods: Periods,
@@ -48,11 +61,10 @@ def asm_npl_report(
 ) -> DataFrame:
     """KPI ranks plus the NPL ratio of the manager's region, lowest ratio first.
 
-    KPI ranks come before the join, so they count managers whose region has no ratio.
+    KPI ranks count managers whose region has no ratio, too; the report leaves these managers out.
     """
-    ratios = F.broadcast(npl_by_area(frames, periods, fan_out))  # at most eight rows per month
-    rows = kpi_ranks(frames, periods, values_per_task).join(ratios, ["month_key", "area_code"])
-    return add_ranks(rows, MONTH, [NPL_RANK], values_per_task).select(
+    rows = add_ranks(_with_npl(frames, periods, fan_out), MONTH, [*KPI_RANKS, NPL_RANK], values_per_task)
+    return rows.where("has_npl").select(
         "month_key",
         "area_code",
         "area_name",
@@ -77,29 +89,26 @@ def scorecard(
 ) -> DataFrame:
     """Scale score, finance score, total and final rank of each manager for each report month, in one pass.
 
+    Two passes of ranks: KPIs, NPL and finance measures together, then the three scores that follow from them.
     All finance ranks are ascending, as the scorecard has always done, although a high margin is
     good; name measures in ``best_high`` to rank them the other way round.
     """
     frames = frames.stored(periods)  # balances and sheet feed both the region report and the ranks
     finance = wide_report(frames, periods).select(
-        month_key(F.col("year"), F.col("month")).alias("month_key"), "area_name", *FINANCE
+        month_key(F.col("year"), F.col("month")).alias("month_key"), "area_name", *FINANCE, F.lit(True).alias("has_finance")
     )
+    rows = _with_npl(frames, periods, fan_out).join(F.broadcast(finance), ["month_key", "area_name"], "left")  # at most eight per month
+    rows = rows.withColumn("complete", F.col("has_npl") & F.coalesce("has_finance", F.lit(False)))
+    finance_ranks = [Rank(c, f"rank_{c}", c in best_high, among="complete") for c in FINANCE]
+    rows = add_ranks(rows, MONTH, [*KPI_RANKS, NPL_RANK, *finance_ranks], values_per_task).where("complete")
     scale = F.col("rank_ltn_avg") + F.col("rank_psdn_avg") + F.col("rank_approve_rate_avg") + F.col("rank_npl")
-    rows = (
-        asm_npl_report(frames, periods, fan_out, values_per_task)
-        .withColumn("scale_score", scale)
-        .join(F.broadcast(finance), ["month_key", "area_name"])  # at most eight rows per month
-    )
-    finance_ranks = [Rank(c, f"rank_{c}", c in best_high, spread="few") for c in FINANCE]
-    scale_rank = Rank("scale_score", "rank_scale", spread="whole")
-    rows = add_ranks(rows, MONTH, [scale_rank, *finance_ranks], values_per_task)
     finance_score = sum((F.col(r.name) for r in finance_ranks), F.lit(0))
-    rows = rows.withColumn("finance_score", finance_score).withColumn(
-        "total_score", F.col("scale_score") + F.col("finance_score")
-    )
+    rows = rows.withColumn("scale_score", scale).withColumn("finance_score", finance_score)
+    rows = rows.withColumn("total_score", F.col("scale_score") + F.col("finance_score"))
     last = [
-        Rank("finance_score", "rank_finance", spread="few"),
-        Rank("total_score", "rank_final", spread="whole"),
+        Rank("scale_score", "rank_scale"),
+        Rank("finance_score", "rank_finance"),
+        Rank("total_score", "rank_final"),
     ]
     return add_ranks(rows, MONTH, last, values_per_task).select(
         "month_key",
@@ -131,7 +140,17 @@ def scorecard(
     )
 
 
-def kpi_rank_sum(frames: Frames, periods: Periods, ranks: list[Rank] | None = None) -> DataFrame:
-    """Any weighted-free rank sum over manager KPIs: ranks per column and direction, and their sum."""
+def kpi_rank_sum(
+    frames: Frames, periods: Periods, ranks: list[Rank] | None = None, weights: dict[str, float] | None = None
+) -> DataFrame:
+    """Any rank sum over manager KPIs: ranks per column and direction, and their sum by weight.
+
+    ``weights`` maps names of ranks to what they count for; ranks that it does not name keep their own weight.
+    """
     rows = asm_averages(frames.sales, periods).dropna(subset=list(KPIS))
-    return rank_sum(rows, MONTH, "score", ranks or KPI_RANKS)
+    given = weights or {}
+    unknown = set(given) - {r.name for r in ranks or KPI_RANKS}
+    if unknown:
+        raise ValueError(f"no rank is named {sorted(unknown)}")
+    weighted = [replace(r, weight=given.get(r.name, r.weight)) for r in ranks or KPI_RANKS]
+    return rank_sum(rows, MONTH, "score", weighted)

@@ -24,4 +24,4 @@ def keep_summary(frames: Frames, periods: Periods, path: str, refresh: bool = Fa
         stored = sinks.refresh(rows, path, MONTHS)
     else:
         stored = sinks.append_if_absent(rows, path, partition_by=MONTHS)
-    return stored.where(F.col("year").isin(*periods.years) & F.col("month").isin(*periods.months))
+    return stored.where(periods.in_years("year") & F.col("month").isin(*periods.months))

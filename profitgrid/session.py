@@ -23,18 +23,39 @@ def local_session(cores: int | str = "*", app: str = "profitgrid") -> SparkSessi
     )
 
 
+def one_process(master: str) -> bool:
+    """Whether driver and executors are one process; those of ``local-cluster`` are not."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``.
 
-    The setting, or else the folder given to ``setCheckpointDir``, must name storage that every executor sees. Only a local master, where driver and
-    executors are one process, may fall back to a temporary folder.
+    The setting, or else the folder given to ``setCheckpointDir``, must name storage that every executor sees.
+    Only a local master, where driver and executors are one process, may fall back to a temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not one_process(context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="profitgrid-")
-    return f"{base.rstrip('/')}/profitgrid-{uuid.uuid4().hex}"
+    folder = f"{base.rstrip('/')}/profitgrid-{uuid.uuid4().hex}"
+    context._profitgrid_folders = [*getattr(context, "_profitgrid_folders", []), folder]
+    return folder
+
+
+def remove_stored(spark: SparkSession) -> int:
+    """Delete what this session has stored in shared folders so far; returns the number of folders.
+
+    For the time after a result has been written: frames that read these folders are of no use any more.
+    """
+    context, removed = spark.sparkContext, 0
+    for folder in getattr(context, "_profitgrid_folders", []):
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        removed += bool(path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True))
+    context._profitgrid_folders = []
+    return removed
 
 
 def stored_once(df: DataFrame) -> DataFrame:

@@ -6,17 +6,20 @@ ones; orders are loan contracts; suppliers are sales managers. Money is in whole
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from profitgrid import rules as R
 from profitgrid.functions.columns import ACCOUNTS_PER_CLASS, DIRECT, HEAD, account_class, or_default
+from profitgrid.operators.ledger import scope
 from profitgrid.operators.sheet import MANAGER, MEASURES, monthly_sheet, sheet_to_long
 from profitgrid.periods import Periods
 from profitgrid.plans.frames import Frames, Organisation
 from profitgrid.rules import MetricRule, RuleBook
+from profitgrid.session import stored_once
 
 FILLER = "0000"  # characters 5 to 8 of an analysis code; the letter is character 9
 
@@ -77,11 +80,16 @@ class StarModel:
 
     @cached_property
     def years(self) -> tuple[int, ...]:
-        """All years from the first to the last shipment or order; reads the two date columns."""
-        dates = [self.table("lineitem").select("l_shipdate"), self.table("orders").select("o_orderdate")]
-        ends = [d.select(F.year(F.col(d.columns[0])).alias("y")).agg(F.min("y"), F.max("y")).first() for d in dates]
-        found = [y for row in ends for y in row if y is not None]
-        return tuple(range(min(found), max(found) + 1)) if found else (1970,)
+        """All years from the first to the last shipment or order, for callers who need them beforehand: reads
+        the two date columns. No report does; ``Periods.every_year`` needs no years."""
+        return tuple(self._all_years.first()[0] or (1970,))
+
+    @property
+    def _all_years(self) -> DataFrame:
+        """One row: the years from the first to the last shipment or order."""
+        dates = self.table("lineitem").select(F.year("l_shipdate").alias("y"))
+        dates = dates.union(self.table("orders").select(F.year("o_orderdate").alias("y")))
+        return dates.agg(F.min("y").alias("first"), F.max("y").alias("last")).select(F.sequence("first", "last"))
 
     @cached_property
     def _nations(self) -> DataFrame:
@@ -112,6 +120,10 @@ class StarModel:
     @cached_property
     def postings(self) -> DataFrame:
         """The ledger's lines before the analysis code of their supplier is looked up."""
+        return self._postings()
+
+    def _postings(self, *more: str) -> DataFrame:
+        """The same with more columns of the line."""
         number = F.col("l_linenumber") + 80
         suffix = F.col("l_partkey") % 5
         account = number.cast("long") * ACCOUNTS_PER_CLASS + suffix
@@ -131,6 +143,7 @@ class StarModel:
             F.when(cost, -cents).otherwise(cents).alias("amount"),
             F.when(cost, F.lit("D")).otherwise(F.lit("C")).alias("d_c"),
             F.lit(None).cast("int").alias("funding_id"),
+            *more,
         )
 
     @cached_property
@@ -245,15 +258,16 @@ class StarModel:
             F.col("s_suppkey").alias(MANAGER), "area_name", "sale_name", "email", "year", "month", *MEASURES
         )
 
-    def sheet(self, years: tuple[int, ...], months: int = 12) -> DataFrame:
-        """The wide sheet of the years: every manager, NULL where a month has no line."""
-        each_year = F.explode(F.array(*[F.lit(y) for y in years]))
+    def sheet(self, years: tuple[int, ...] | None = None, months: int = 12) -> DataFrame:
+        """The wide sheet of the years, or of all: every manager, NULL where a month has no line."""
+        listed = self._all_years.scalar() if years is None else F.array(*[F.lit(y) for y in years])
+        each_year = F.explode(listed)
         managers = self._suppliers.withColumn("year", each_year).withColumnRenamed("s_suppkey", "l_suppkey")
         cells = monthly_sheet(self._monthly_kpis(), ["l_suppkey", "year"], months)
         wide = managers.join(cells, ["l_suppkey", "year"], "left").drop("analysis_code")
         return wide.withColumnRenamed("l_suppkey", MANAGER)
 
-    def sales_of_all_months(self, years: tuple[int, ...], months: int = 12) -> DataFrame:
+    def sales_of_all_months(self, years: tuple[int, ...] | None = None, months: int = 12) -> DataFrame:
         return sheet_to_long(self.sheet(years, months))
 
     def frames(self, periods: Periods | None = None) -> Frames:
@@ -269,5 +283,59 @@ class StarModel:
             self.sales if periods is None else self.sales_of(periods),
             self.roster,
             self.organisation,
-            january=self.sales_of(Periods(periods.years if periods else self.years, (1,))),
+            january=lambda wanted: self.sales_of(Periods(wanted.years, (1,))),
+        )
+
+    def frames_once(self, periods: Periods, sheet_months: tuple[int, ...] = (1,)) -> Frames:
+        """Frames whose ledger sums and sheet rows come from one pass over the lines, stored.
+
+        The sheet has the given months only; the headcount needs no other than January.
+        """
+        sums = stored_once(self._at_two_grains(periods, sheet_months))
+        monthly = sums.where(F.col("rule_key").isNotNull()).select("year", "month", "rule_key", "scope", "amount")
+        cells = sums.where(F.col("l_suppkey").isNotNull())
+        rates = cells.withColumns({"ltn": F.nullif("ltn", F.lit(0)), "approval_rate": F.col("approve") / F.col("app_in")})
+        managers = self._suppliers
+        sales = rates.join(managers, rates["l_suppkey"] == managers["s_suppkey"]).select(
+            F.col("s_suppkey").alias(MANAGER), "area_name", "sale_name", "email", "year", "month", *MEASURES
+        )
+        return replace(self.frames(periods), sales=sales, january=None, monthly=monthly)
+
+    def _at_two_grains(self, periods: Periods, sheet_months: tuple[int, ...]) -> DataFrame:
+        """Sums of the lines per month, rule key and scope (``l_suppkey`` is NULL), and per month and manager
+        (the other two are NULL): each line is counted at both grains in the same pass.
+
+        Partial sums of the first grain are as few as the rule book and the months; those of the second one
+        row per manager and month of the sheet.
+        """
+        rules = self.organisation.rules
+        lines = self._postings("l_linenumber", "l_quantity", "l_returnflag").where(periods.dates("transaction_date"))
+        lines = lines.join(self._suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        month, place = F.month("transaction_date"), scope()
+        posted = rules.has_account() & place.isNotNull()
+        none = {"rule_key": "bigint", "scope": "string", "l_suppkey": "bigint"}
+
+        def grain(**given: Column) -> Column:
+            return F.struct(*[given.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in none.items()])
+
+        nothing = F.array().cast("array<struct<rule_key:bigint,scope:string,l_suppkey:bigint>>")
+        by_rule = F.when(posted, F.transform(rules.keys(), lambda key: grain(rule_key=key, scope=place))).otherwise(nothing)
+        by_manager = F.when(month.isin(*sheet_months), F.array(grain(l_suppkey=F.col("l_suppkey")))).otherwise(nothing)
+        counted = lines.select(
+            F.year("transaction_date").alias("year"),
+            month.alias("month"),
+            F.explode(F.concat(by_rule, by_manager)).alias("grain"),
+            "amount",
+            (F.col("l_linenumber") == 1).alias("first"),
+            (F.col("l_returnflag") != "R").alias("kept"),
+            F.col("l_quantity").cast("long").alias("quantity"),
+        )
+        return counted.select("year", "month", "grain.*", "amount", "first", "kept", "quantity").groupBy(
+            "year", "month", *none
+        ).agg(
+            F.sum("amount").alias("amount"),
+            F.count(F.when(F.col("first"), 1)).alias("ltn"),
+            F.sum("quantity").alias("psdn"),
+            F.count(F.when(F.col("kept"), 1)).alias("approve"),
+            F.count(F.lit(1)).alias("app_in"),
         )

@@ -40,7 +40,7 @@ def ordered(columns: list[str], rows: list[tuple]) -> tuple[list[str], list[tupl
     return [columns[i] for i in places], sorted(keyed, key=lambda r: tuple(str(v) for v in r))
 
 
-TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 def compare(spark, con, folder: str, name: str) -> tuple[bool, str]:

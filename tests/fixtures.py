@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
+import io
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -105,3 +107,10 @@ def account(metric: str) -> int:
 
 def as_set(df: DataFrame, *columns: str) -> set[tuple]:
     return {tuple(r) for r in df.select(*columns).collect()}
+
+
+def plan_of(df: DataFrame) -> str:
+    text = io.StringIO()
+    with contextlib.redirect_stdout(text):
+        df.explain("formatted")
+    return text.getvalue()

@@ -1,0 +1,245 @@
+"""Incremental months, checked loads, dimension loads, hierarchies, one pass over the lines."""
+
+from __future__ import annotations
+
+import datetime as dt
+import random
+
+import pytest
+from fixtures import as_set, balances, direct, frames, head, ledger, loan, manager, plan_of, posting
+from pyspark.sql import functions as F
+
+from profitgrid import schemas
+from profitgrid.operators import dims
+from profitgrid.operators import ledger as L
+from profitgrid.operators.balances import point_sums
+from profitgrid.periods import Months, Periods
+from profitgrid.plans import increments, report
+from profitgrid.rules import FINANCE_COMPANY
+from profitgrid.session import remove_stored, shared_folder
+from profitgrid.sources import readers, sinks
+from profitgrid.sources.star import StarModel
+
+
+@pytest.fixture
+def folder(spark):
+    return shared_folder(spark)
+
+
+# Periods
+
+
+def test_every_year_equals_all_years_of_the_data(spark, small):
+    model = StarModel(spark, small)
+    for months in ((12,), (2,), (1, 6)):
+        open_ones, given = Periods.every_year(*months), Periods(model.years, months)
+        assert as_set(report.wide_report(model.frames(open_ones), open_ones), "*") == as_set(
+            report.wide_report(model.frames(given), given), "*"
+        )
+
+
+def test_no_query_looks_for_years_beforehand(spark, small, monkeypatch):
+    import __spark_entry__ as entry
+
+    monkeypatch.setattr(StarModel, "years", property(lambda self: pytest.fail("the data were read for their years")))
+    for name in ("ledger_ytd", "ledger_head_pool", "npl_ratio", "balance_by_bucket", "src_sales_kpi", "asm_kpi_avg", "interest_in_term"):
+        entry.queries()[name](spark, small)
+
+
+def test_exact_months(spark):
+    for months in (Months((2023, 2024), (2, 12)), Months((2023,), (1,)), Months.every_year(2, 12)):
+        rows = spark.range(36).select(F.add_months(F.lit(dt.date(2022, 1, 15)), F.col("id").cast("int")).alias("d"))
+        rows = rows.select("d", F.year("d").alias("year"), F.month("d").alias("month"), (F.year("d") * 100 + F.month("d")).alias("k"))
+        years = months.years or (2022, 2023, 2024)
+        want = {(y * 100 + m,) for y in years for m in months.months}
+        for test in (months.dates("d"), months.keys("k"), months.year_months()):
+            assert as_set(rows.where(test), "k") == {w for w in want if w[0] < 202500}
+
+
+# One pass over the lines
+
+
+def scans(df, file: str) -> int:
+    return sum("Location:" in part and f"/{file}.parquet" in part for part in plan_of(df).split("\n\n"))
+
+
+@pytest.mark.parametrize("year", [None, (1997,)])
+def test_one_scan_of_the_lines_for_ledger_and_sheet(spark, small, year):
+    periods = Periods(year, (3, 12))
+    model = StarModel(spark, small)
+    assert scans(model._at_two_grains(periods, (1,)), "lineitem") == 1
+    once = model.frames_once(periods)
+    for make in (report.wide_report, report.level1_report, report.pivot_report):
+        got = make(once, periods)
+        assert scans(got, "lineitem") == 0 and scans(got, "orders") == 1
+        want = make(model.frames(periods), periods)
+        assert as_set(got, *[f"`{c}`" for c in want.columns]) == as_set(want, *[f"`{c}`" for c in want.columns])
+
+
+def test_sheet_of_the_same_pass(spark, small):
+    periods = Periods.every_year(12)
+    model = StarModel(spark, small)
+    got = model.frames_once(periods, tuple(range(1, 13))).sales
+    assert as_set(got, *model.sales.columns) == as_set(model.sales, *model.sales.columns)
+
+
+# Increments
+
+
+def stored_facts(spark, folder, postings, loans):
+    sinks.write_ledger(ledger(spark, postings), f"{folder}/ledger")
+    sinks.write_balances(balances(spark, loans), f"{folder}/balances")
+    return readers.read_ledger(spark, f"{folder}/ledger"), readers.read_balances(spark, f"{folder}/balances")
+
+
+def some_frames(spark, factor: int = 1):
+    postings = [posting(m, 702000030001, s, factor * 10 * m + i) for m in (1, 2, 3) for i, s in enumerate(("HEAD01", "DVML0001B", "DVML0001C"))]
+    postings += [head(1, 850000000001, 7), direct(2, 850000000001, "B", -7)]
+    loans = [loan(m, a, factor * 100 * m, b) for m in (1, 2, 3) for a, b in (("B", 1), ("C", 2))]
+    managers = [manager(n, a, 1) for n, a in (("a", "B"), ("b", "C"), ("c", "C"))]
+    return frames(spark, postings, loans, managers)
+
+
+def test_months_one_by_one_equal_all_at_once(spark, folder):
+    every = some_frames(spark)
+    periods = Periods.of(2023, 3)
+    metrics = ("interest_in_term", "cost_staff")
+    want = as_set(report.allocated(every, periods, metrics), "*")
+    for month in (1, 2, 3):
+        assert increments.add_months(every, folder, Months.of(2023, month)) == [202300 + month]
+    got = report.allocated(increments.frames_of(every, folder, periods), periods, metrics)
+    assert want and as_set(got, "*") == want
+    assert "transaction_date" not in plan_of(got)  # no posting is read
+
+
+def test_a_month_loaded_again_replaces_its_sums_alone(spark, folder):
+    first, later = some_frames(spark), some_frames(spark, 5)
+    increments.add_months(first, folder, Months((2023,), (1, 2, 3)))
+    increments.add_months(later, folder, Months.of(2023, 2))
+    monthly = increments.frames_of(first, folder, Periods.of(2023, 3)).monthly
+    of = {f: as_set(L.monthly_by_rule_key(x.ledger, Periods.of(2023, 3), x.organisation.rules), "*") for f, x in ((1, first), (5, later))}
+    assert as_set(monthly, "year", "month", "rule_key", "scope", "amount") == {r for r in of[1] if r[1] != 2} | {r for r in of[5] if r[1] == 2}
+    increments.add_months(frames(spark, [], [], []), folder, Months.of(2023, 2))
+    assert {r[0] for r in as_set(increments.frames_of(first, folder, Periods.of(2023, 3)).monthly, "month")} == {1, 3}
+    with pytest.raises(ValueError, match="no month"):
+        increments.frames_of(first, folder, Periods.of(2020, 3))
+
+
+def test_a_load_reads_the_files_of_its_months(spark, folder):
+    source = some_frames(spark)
+    postings, loans = stored_facts(spark, folder, source.ledger.collect(), source.balances.collect())
+    month = Months.of(2023, 2)
+    plan = plan_of(L.monthly_by_rule_key(postings, month, FINANCE_COMPANY))
+    assert "PartitionFilters" in plan and "month#" in plan.split("PartitionFilters", 1)[1].split("\n")[0]
+    read = postings.where(month.year_months()).select(F.input_file_name().alias("f")).distinct().collect()
+    assert read and all("year=2023/month=2/" in r.f for r in read)
+    plan = plan_of(point_sums(loans.where(month.keys("kpi_month"))))
+    assert "kpi_month" in plan.split("PartitionFilters", 1)[1].split("\n")[0]
+
+
+# Checked loads
+
+
+def test_bad_rows_are_set_apart(spark, folder):
+    lines = [
+        "transaction_date,account_code,account_description,analysis_code,amount,d_c,funding_id",
+        "2023-01-15,702000030001,,HEAD0001,5,C,",
+        "2023-02-30,702000030001,,HEAD0001,5,C,",
+        "2023-01-15,seven,,HEAD0001,5,C,",
+        "2023-01-15,702000030001,,HEAD0001,,C,",
+        "2023-01-15,,,HEAD0001,5,C,",
+        "too,short",
+        '2023-01-16,702000030001,"a, b",DVML0001B,-7,C,3',
+    ]
+    spark.createDataFrame([("\n".join(lines),)], "value string").write.text(folder)
+    checked = readers.read_ledger_checked(spark, folder)
+    assert as_set(checked.kept, "analysis_code", "amount", "account_description") == {("HEAD0001", 5, None), ("DVML0001B", -7, "a, b")}
+    assert checked.kept.schema.fieldNames() == schemas.LEDGER.fieldNames()
+    assert as_set(checked.counts(), "reason", "rows") == {
+        (None, 2), ("malformed", 3), ("amount is missing", 1), ("account_code is missing", 1),
+    }
+    bad = checked.rejected.collect()
+    assert {r.line for r in bad if r.reason == "malformed"} == {lines[2], lines[3], lines[6]}
+    assert all(r.file.endswith(".txt") and r.line for r in bad)
+    assert checked.no_more_than(5) is checked
+    with pytest.raises(readers.TooManyRejected, match="malformed"):
+        checked.no_more_than(4)
+
+
+def test_checked_load_of_nothing(spark, folder):
+    balances(spark, []).write.option("header", "true").csv(folder)
+    checked = readers.read_balances_checked(spark, folder).no_more_than(0)
+    assert checked.kept.count() == 0 and checked.rejected.count() == 0
+
+
+# Dimension loads
+
+
+def test_numbers_without_a_window_over_all_rows(spark):
+    rows = spark.range(0, 1000, 1, 7).where("id % 3 <> 0 or id > 900")
+    got = sinks.numbered(rows, "n", after=50)
+    n = rows.count()
+    assert sorted(r.n for r in got.collect()) == list(range(51, 51 + n))
+    assert sinks.numbered(rows.limit(0), "n").count() == 0
+
+
+def test_loading_a_dimension_twice(spark, folder):
+    first = spark.createDataFrame([("a", "x"), ("b", "y"), (None, "z")], "code string, name string")
+    old = {r.code: r for r in sinks.load_dimension(first, folder, ["code"], "id").collect()}
+    assert sorted(r.id for r in old.values()) == [1, 2, 3] and len({r.rec_created_dt for r in old.values()}) == 1
+    second = spark.createDataFrame([("b", "changed"), ("a", "x"), ("c", "new"), ("c", "newer"), ("d", None)], "code string, name string")
+    new = {r.code: r for r in sinks.load_dimension(second, folder, ["code"], "id").collect()}
+    assert {c: new[c].id for c in old} == {c: r.id for c, r in old.items()}
+    assert sorted(r.id for r in new.values()) == [1, 2, 3, 4, 5]
+    assert (new["a"].rec_updated_dt, new[None].rec_updated_dt) == (old["a"].rec_updated_dt, old[None].rec_updated_dt)
+    assert new["b"].name == "changed" and new["b"].rec_created_dt == old["b"].rec_created_dt < new["b"].rec_updated_dt
+    assert new["c"].name == "new" and new["c"].rec_created_dt == new["d"].rec_created_dt == new["b"].rec_updated_dt
+    again = sinks.load_dimension(second, folder, ["code"], "id")
+    assert {tuple(r) for r in again.collect()} == {tuple(r) for r in new.values()}
+
+
+# Hierarchies
+
+
+def test_ancestors_of_any_depth(spark):
+    pick = random.Random(3)
+    parent = {i: pick.randrange(max(0, i - 4), i) if i else None for i in range(60)}
+    parent |= {100 + i: 99 + i if i else None for i in range(37)} | {500: 499}
+    nodes = spark.createDataFrame(list(parent.items()) + [(None, 3)], "id int, up int")
+    want = set()
+    for node in parent:
+        up, distance = node, 0
+        while up is not None:
+            want.add((node, up, distance))
+            up, distance = parent.get(up), distance + 1
+    assert as_set(dims.ancestors(nodes, "id", "up"), "node", "ancestor", "distance") == want
+    assert dims.ancestors(nodes.limit(0), "id", "up").count() == 0
+
+
+@pytest.mark.parametrize("circle", [[(1, 1)], [(1, 2), (2, 1)], [(i, (i + 1) % 7) for i in range(7)] + [(9, 3)]])
+def test_circles_are_reported(spark, circle):
+    with pytest.raises(dims.Circle):
+        dims.ancestors(spark.createDataFrame(circle, "id int, up int"), "id", "up")
+
+
+def test_roll_up_along_a_table_equals_the_fixed_tree(spark, folder):
+    leaves = spark.createDataFrame([(2023, "cost_staff", 3.0), (2023, "interest_in_term", 4.5), (2023, "rev_business", 1.0)], "year int, metric string, amount double")
+    stored = sinks.overwrite(dims.metric_dimension(spark), folder)
+    assert as_set(dims.roll_up(leaves, ["year"], stored), "*") == as_set(dims.roll_up(leaves, ["year"]), "*")
+    deeper = spark.createDataFrame([(1, "top", None, 0, 1), (2, "mid", 1, 1, 2), (3, "low", 2, 2, 3), (4, "rev_business", 3, 3, 4)],
+                                   "funding_id int, funding_code string, funding_parent_id int, funding_level int, sortorder int")
+    assert as_set(dims.roll_up(leaves, ["year"], deeper), "funding_code", "amount") == {(c, 1.0) for c in ("top", "mid", "low", "rev_business")}
+
+
+# Storage
+
+
+def test_stored_folders_can_be_removed(spark):
+    context = spark.sparkContext
+    kept, context._profitgrid_folders = getattr(context, "_profitgrid_folders", []), []
+    path = shared_folder(spark)
+    spark.range(3).write.parquet(path)
+    assert remove_stored(spark) == 1 and remove_stored(spark) == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    context._profitgrid_folders = kept

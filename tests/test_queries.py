@@ -2,13 +2,10 @@
 
 from __future__ import annotations
 
-import contextlib
-import io
-
 import check_all
 import oracle
 import pytest
-from fixtures import as_set, balances, city, direct, head, ledger, loan
+from fixtures import as_set, balances, city, direct, head, ledger, loan, plan_of
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -23,14 +20,13 @@ from profitgrid.rules import FINANCE_COMPANY
 from profitgrid.sources import readers, sinks
 from profitgrid.sources.star import StarModel
 
-
 REPORTS = sorted(oracle.statements())
 
 
 def test_every_report_query_has_sql():
     others = {n for n in entry.queries() if n == "pipeline" or n[:2] == "op" and n[2].isdigit()}
     assert set(entry.queries()) - others == set(REPORTS)
-    assert len(REPORTS) == 68
+    assert len(REPORTS) == 73
 
 
 @pytest.mark.parametrize("name", REPORTS)
@@ -39,13 +35,6 @@ def test_query_agrees_with_sql(spark, small, name):
     assert ok, note
 
 
-def plan_of(df) -> str:
-    text = io.StringIO()
-    with contextlib.redirect_stdout(text):
-        df.explain("formatted")
-    return text.getvalue()
-
-
 def test_entry_has_rows(spark, small):
     assert entry.entry(spark).count() > 0
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import random
+from collections import Counter
+
 import pytest
-from fixtures import as_set, city, frames, loan, manager, sales, sums
+from fixtures import as_set, city, frames, loan, manager, plan_of, sales, sums
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
@@ -92,13 +95,13 @@ numbers = st.one_of(st.none(), st.integers(-20, 20), st.floats(-5, 5, allow_nan=
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.tuples(st.integers(1, 2), numbers), min_size=1, max_size=60), st.booleans(), st.sampled_from(["any", "few"]))
-def test_rank_by_value_ranges_equals_a_plain_window(spark, rows, descending, spread):
+@given(st.lists(st.tuples(st.integers(1, 2), numbers), min_size=1, max_size=60), st.booleans())
+def test_rank_by_value_ranges_equals_a_plain_window(spark, rows, descending):
     data = [(i, g, None if v is None else float(v) or 0.0) for i, (g, v) in enumerate(rows)]
     df = spark.createDataFrame(data, "id int, g int, v double")
     order = F.col("v").desc_nulls_last() if descending else F.col("v").asc_nulls_last()
     want = as_set(df.withColumn("r", F.rank().over(Window.partitionBy("g").orderBy(order)).cast("long")), "id", "r")
-    got = add_ranks(df, ["g"], [Rank("v", "r", descending, spread)], values_per_task=7)
+    got = add_ranks(df, ["g"], [Rank("v", "r", descending)], values_per_task=7)
     assert as_set(got, "id", "r") == want
 
 
@@ -111,10 +114,10 @@ def test_buckets_grow_with_the_value(spark, buckets):
     assert max(numbers_.count(b) for b in set(numbers_)) <= 3 * 1000 / buckets + 2
 
 
-def test_rank_of_whole_numbers_by_width(spark):
+def test_rank_of_whole_numbers(spark):
     df = spark.range(100).select("id", F.lit(1).alias("g"), (F.col("id") * 37 % 50 - 25).alias("v"))
     want = as_set(df.withColumn("r", F.rank().over(Window.partitionBy("g").orderBy("v")).cast("long")), "id", "r")
-    got = add_ranks(df, ["g"], [Rank("v", "r", spread="whole")], values_per_task=8)
+    got = add_ranks(df, ["g"], [Rank("v", "r")], values_per_task=8)
     assert as_set(got, "id", "r") == want
 
 
@@ -124,6 +127,46 @@ def test_rank_sum(spark):
     assert as_set(got, "id", "score") == {("a", 2), ("b", 5), ("c", 4)}
 
 
+@pytest.mark.parametrize("values_per_task", [3, 1000])
+def test_many_ranks_in_one_pass_equal_plain_windows(spark, values_per_task):
+    pick = random.Random(6)
+    data = [(i, pick.choice([1, 2, None]), pick.choice([None, 0.0, -0.0, 2.5, float(i % 9)]), i % 7, pick.random() < 0.6) for i in range(90)]
+    df = spark.createDataFrame(data * 2, "id int, g int, v double, w int, some boolean")
+    ranks = [Rank("v", "v_low"), Rank("v", "v_high", descending=True), Rank("w", "w_some", among="some"), Rank("v", "v_some", True, "some")]
+    got = Counter(tuple(r) for r in add_ranks(df, ["g"], ranks, values_per_task).collect())
+    want = df
+    for r in ranks:
+        order = F.col(r.column).desc_nulls_last() if r.descending else F.col(r.column).asc_nulls_last()
+        kept = F.lit(True) if r.among is None else F.col(r.among)
+        want = want.withColumn(r.name, F.when(kept, F.rank().over(Window.partitionBy("g", kept).orderBy(order)).cast("long")))
+    assert got == Counter(tuple(r) for r in want.collect())
+
+
+def test_shuffles_do_not_depend_on_the_number_of_ranks(spark):
+    df = spark.createDataFrame([(1, i, float(i % 5), i % 3) for i in range(50)], "g int, id int, v double, w int")
+
+    def exchanges(ranks):
+        ranked = add_ranks(df, ["g"], ranks, 5)
+        return ranked._jdf.queryExecution().sparkPlan().toString().count("Window"), plan_of(ranked).count("Exchange hashpartitioning")
+
+    one = exchanges([Rank("v", "a")])
+    assert exchanges([Rank("v", "a"), Rank("w", "b"), Rank("v", "c", True), Rank("w", "d", True)]) == one
+
+
+def test_weighted_rank_sum(spark):
+    rows = spark.createDataFrame([(1, "a", 1, 9), (1, "b", 2, 8), (1, "c", 3, 9)], ["g", "id", "x", "y"])
+    got = rank_sum(rows, ["g"], "score", [Rank("x", "rx", weight=0.5), Rank("y", "ry", descending=True, weight=2)])
+    assert as_set(got, "id", "score") == {("a", 2.5), ("b", 7.0), ("c", 3.5)}
+
+
+def test_kpi_rank_sum_by_weight(spark):
+    rows = [manager(n, "B", m, ltn=v) for n, v in (("a", 1), ("b", 2)) for m in (1, 2)]
+    got = scorecard.kpi_rank_sum(frames(spark, [], [], rows), FEB, weights={"rank_ltn_avg": 4})
+    assert as_set(got, "email", "score") == {("a@x", 10), ("b@x", 6)}
+    with pytest.raises(ValueError, match="no rank"):
+        scorecard.kpi_rank_sum(frames(spark, [], [], rows), FEB, weights={"rank_of_nothing": 1})
+
+
 def test_kpi_ranks_come_before_the_ratio_join(spark):
     rows = [manager(n, a, m, ltn=v) for n, a, v in (("a", "B", 1), ("b", "C", 2), ("c", "D", 3)) for m in (1, 2)]
     loans = [loan(1, "B", 10, 3), loan(1, "B", 30, 1), loan(1, "C", 10, 3)]

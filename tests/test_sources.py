@@ -11,6 +11,7 @@ from profitgrid.operators import audit, dims
 from profitgrid.operators.sheet import monthly_sheet
 from profitgrid.session import shared_folder
 from profitgrid.sources import readers, sinks
+from profitgrid.sources.published import Published
 
 
 @pytest.fixture
@@ -82,6 +83,72 @@ def test_overwrite_replaces_everything(spark, folder):
     assert as_set(got, "*") == {(2023, 2, "south", 2)}
 
 
+def test_overwrite_may_read_what_it_replaces(spark, folder):
+    sinks.overwrite(stored(spark, [(2023, 1, "north", 1)]), folder)
+    old = sinks.read_stored(spark, folder)
+    got = sinks.overwrite(old.withColumn("amount", F.col("amount") + 1), folder)
+    assert as_set(got, "amount") == {(2,)}
+
+
+def test_failed_write_leaves_the_old_report(spark, folder):
+    sinks.overwrite(stored(spark, [(2023, 1, "north", 1)]), folder)
+    broken = stored(spark, [(2023, 2, "south", 2)]).withColumn("amount", F.raise_error(F.lit("midway")).cast("bigint"))
+    for write in (sinks.overwrite, sinks.append_if_absent, lambda b, p: sinks.refresh(b, p, ["year"])):
+        with pytest.raises(Exception, match="midway"):
+            write(broken, folder)
+        assert as_set(sinks.read_stored(spark, folder), "*") == {(2023, 1, "north", 1)}
+
+
+def test_of_two_appends_at_once_one_row_per_key_stays(spark, folder, monkeypatch):
+    """Another run publishes between the key check and the commit of the first."""
+    sinks.append_if_absent(stored(spark, [(2023, 1, "north", 1)]), folder)
+    publish, raced = Published.publish, []
+
+    def late(self, number, parts):
+        if not raced:
+            raced.append(number)
+            sinks.append_if_absent(stored(spark, [(2023, 2, "north", 20), (2023, 3, "north", 30)]), folder)
+        return publish(self, number, parts)
+
+    monkeypatch.setattr(Published, "publish", late)
+    got = sinks.append_if_absent(stored(spark, [(2023, 2, "north", 99), (2023, 4, "north", 4)]), folder)
+    want = {(1, 1), (2, 20), (3, 30), (4, 4)}
+    assert as_set(got, "month", "amount") == want and got.count() == 4
+    assert as_set(sinks.read_stored(spark, folder), "month", "amount") == want
+
+
+def test_refresh_and_overwrite_at_once(spark, folder, monkeypatch):
+    sinks.append_if_absent(stored(spark, [(2023, 1, "north", 1), (2023, 2, "north", 2)]), folder)
+    publish, raced = Published.publish, []
+
+    def late(self, number, parts):
+        if not raced:
+            raced.append(number)
+            sinks.append_if_absent(stored(spark, [(2023, 3, "north", 3)]), folder)
+        return publish(self, number, parts)
+
+    monkeypatch.setattr(Published, "publish", late)
+    got = sinks.refresh(stored(spark, [(2023, 2, "north", 7)]), folder, ["year", "month"])
+    assert as_set(got, "month", "amount") == {(1, 1), (2, 7), (3, 3)}
+
+
+def test_a_version_can_be_taken_once(spark, folder):
+    table = Published(spark, folder)
+    assert table.version() == (0, ())
+    part = table.write(stored(spark, [(2023, 1, "north", 1)]))
+    assert table.publish(1, (part,)) and not table.publish(1, ()) and table.version() == (1, (part,))
+    other = table.write(stored(spark, []))
+    assert table.publish(2, (part,)) and table.remove_unlisted() == 1
+    assert table.read(table.version()[1]).count() == 1 and other
+
+
+def test_null_keys_are_keys(spark, folder):
+    batch = stored(spark, [(2023, 1, None, 1), (2023, None, "north", 2)])
+    for _ in range(2):
+        got = sinks.append_if_absent(batch, folder)
+    assert got.count() == 2
+
+
 def test_one_row_per_point_of_sale(spark):
     rows = [("p1", "Huế"), ("p1", "Hà Nội"), ("p2", "Paris"), (None, "Huế"), ("p3", None)]
     seen = spark.createDataFrame(rows, "pos_cde string, pos_city string")
