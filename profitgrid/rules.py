@@ -91,18 +91,18 @@ class RuleBook:
         Sums per rule key are as few as the rule book is long, however many accounts a class has.
         Only a book that lists accounts of one of its own classes needs two keys for a posting.
         """
-        key = F.explode(self.keys()) if self._two_keys else self.keys()[0]
+        key = F.explode(self.keys()) if self.two_keys else self.keys()[0]
         return postings.withColumn("rule_key", key).drop("account_code")
 
     @property
-    def _two_keys(self) -> bool:
+    def two_keys(self) -> bool:
         return any(a // ACCOUNTS_PER_CLASS in self.account_classes for a in self.accounts)
 
     def keys(self) -> Column:
         """The rule keys of an account, one or two."""
         number = account_class("account_code")
         key = F.when(F.col("account_code").isin(*self.accounts), F.col("account_code")).otherwise(number)
-        return F.array_distinct(F.array(key, number)) if self._two_keys else F.array(key)
+        return F.array_distinct(F.array(key, number)) if self.two_keys else F.array(key)
 
     def frame(self, spark: SparkSession) -> DataFrame:
         """One row per metric and account or class: (rule_key, metric, weight).

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,6 +59,12 @@ def remove_stored(spark: SparkSession) -> int:
     return removed
 
 
+def stored_together(*frames: DataFrame) -> list[DataFrame]:
+    """``stored_once`` for frames that do not depend on each other, by jobs that run side by side."""
+    with ThreadPoolExecutor(len(frames)) as pool:
+        return list(pool.map(stored_once, frames))
+
+
 def stored_once(df: DataFrame) -> DataFrame:
     """Store rows that several later steps read, so that a lost executor does not repeat their work.
 

@@ -9,17 +9,18 @@ from __future__ import annotations
 from dataclasses import replace
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from profitgrid import rules as R
 from profitgrid.functions.columns import ACCOUNTS_PER_CLASS, DIRECT, HEAD, account_class, or_default
+from profitgrid.operators.balances import point_sums
 from profitgrid.operators.ledger import scope
 from profitgrid.operators.sheet import MANAGER, MEASURES, monthly_sheet, sheet_to_long
 from profitgrid.periods import Periods
 from profitgrid.plans.frames import Frames, Organisation
 from profitgrid.rules import MetricRule, RuleBook
-from profitgrid.session import stored_once
+from profitgrid.session import stored_together
 
 FILLER = "0000"  # characters 5 to 8 of an analysis code; the letter is character 9
 
@@ -287,11 +288,13 @@ class StarModel:
         )
 
     def frames_once(self, periods: Periods, sheet_months: tuple[int, ...] = (1,)) -> Frames:
-        """Frames whose ledger sums and sheet rows come from one pass over the lines, stored.
+        """Frames whose ledger sums and sheet rows come from one pass over the lines, and balance sums from one
+        pass over the orders, both stored at the same time.
 
         The sheet has the given months only; the headcount needs no other than January.
         """
-        sums = stored_once(self._at_two_grains(periods, sheet_months))
+        frames = self.frames(periods)
+        sums, points = stored_together(self._at_two_grains(periods, sheet_months), point_sums(frames.balances))
         monthly = sums.where(F.col("rule_key").isNotNull()).select("year", "month", "rule_key", "scope", "amount")
         cells = sums.where(F.col("l_suppkey").isNotNull())
         rates = cells.withColumns({"ltn": F.nullif("ltn", F.lit(0)), "approval_rate": F.col("approve") / F.col("app_in")})
@@ -299,7 +302,7 @@ class StarModel:
         sales = rates.join(managers, rates["l_suppkey"] == managers["s_suppkey"]).select(
             F.col("s_suppkey").alias(MANAGER), "area_name", "sale_name", "email", "year", "month", *MEASURES
         )
-        return replace(self.frames(periods), sales=sales, january=None, monthly=monthly)
+        return replace(frames, sales=sales, january=None, monthly=monthly, sums=points)
 
     def _at_two_grains(self, periods: Periods, sheet_months: tuple[int, ...]) -> DataFrame:
         """Sums of the lines per month, rule key and scope (``l_suppkey`` is NULL), and per month and manager
@@ -311,31 +314,31 @@ class StarModel:
         rules = self.organisation.rules
         lines = self._postings("l_linenumber", "l_quantity", "l_returnflag").where(periods.dates("transaction_date"))
         lines = lines.join(self._suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
-        month, place = F.month("transaction_date"), scope()
-        posted = rules.has_account() & place.isNotNull()
-        none = {"rule_key": "bigint", "scope": "string", "l_suppkey": "bigint"}
-
-        def grain(**given: Column) -> Column:
-            return F.struct(*[given.get(c, F.lit(None)).cast(kind).alias(c) for c, kind in none.items()])
-
-        nothing = F.array().cast("array<struct<rule_key:bigint,scope:string,l_suppkey:bigint>>")
-        by_rule = F.when(posted, F.transform(rules.keys(), lambda key: grain(rule_key=key, scope=place))).otherwise(nothing)
-        by_manager = F.when(month.isin(*sheet_months), F.array(grain(l_suppkey=F.col("l_suppkey")))).otherwise(nothing)
+        lines = lines.withColumns({"month": F.month("transaction_date"), "scope": scope()})
+        keys, once = rules.keys(), F.lit(True)
+        if rules.two_keys:  # the line is at the second grain once, however many rule keys it has
+            lines = lines.select("*", F.posexplode(keys).alias("nth", "key"))
+            keys, once = F.array("key"), F.col("nth") == 0
+        posted = rules.has_account() & F.col("scope").isNotNull()
         counted = lines.select(
             F.year("transaction_date").alias("year"),
-            month.alias("month"),
-            F.explode(F.concat(by_rule, by_manager)).alias("grain"),
+            "month",
+            F.when(posted, keys[0]).alias("rule_key"),
+            F.when(posted, F.col("scope")).alias("scope"),
+            F.when(F.col("month").isin(*sheet_months) & once, F.col("l_suppkey")).alias("l_suppkey"),
             "amount",
             (F.col("l_linenumber") == 1).alias("first"),
             (F.col("l_returnflag") != "R").alias("kept"),
             F.col("l_quantity").cast("long").alias("quantity"),
         )
-        return counted.select("year", "month", "grain.*", "amount", "first", "kept", "quantity").groupBy(
-            "year", "month", *none
-        ).agg(
+        names = ["year", "month", "rule_key", "scope", "l_suppkey"]
+        grains = [names[:4], ["year", "month", "l_suppkey"]]
+        sums = counted.groupingSets([[F.col(c) for c in grain] for grain in grains], *names).agg(
             F.sum("amount").alias("amount"),
             F.count(F.when(F.col("first"), 1)).alias("ltn"),
             F.sum("quantity").alias("psdn"),
             F.count(F.when(F.col("kept"), 1)).alias("approve"),
             F.count(F.lit(1)).alias("app_in"),
         )
+        # Without a key: lines that a grain leaves out.
+        return sums.where(F.col("rule_key").isNotNull() | F.col("l_suppkey").isNotNull())
