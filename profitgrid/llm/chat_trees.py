@@ -22,8 +22,6 @@ empty table gives an empty result. One conversation is one string, hence in one
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -58,10 +56,10 @@ def paths(messages: DataFrame) -> DataFrame:
     jumps = stored(links)
     leaves = messages.select("node").join(links.select(F.col("above").alias("node")), "node", "left_anti")
     found = stored(leaves.select(F.col("node").alias("leaf"), "node", F.lit(0).cast("bigint").alias("up")))
-    largest = messages.groupBy("tree").count().agg(F.max("count")).first()[0] or 1
-    for k in range(math.ceil(math.log2(largest)) if largest > 1 else 0):
-        farther = found.join(jumps, "node").select("leaf", F.col("above").alias("node"), F.col("up") + (1 << k))
-        found = stored(found.union(farther))
+    reach, most = 1, messages.groupBy("tree").count().agg(F.max("count")).first()[0] or 1
+    while reach < most and jumps.head(1):  # a ring never runs out of jumps, but has no more messages than its tree
+        farther = found.join(jumps, "node").select("leaf", F.col("above").alias("node"), F.col("up") + reach)
+        found, reach = stored(found.union(farther)), 2 * reach
         second = jumps.select(F.col("node").alias("above"), F.col("above").alias("top"))
         jumps = stored(jumps.join(second, "above").select("node", F.col("top").alias("above")))
     tops = found.join(links, "node", "left_anti").select("leaf")
@@ -138,7 +136,7 @@ def as_chains(conversations: DataFrame) -> DataFrame:
     """Conversations (conv_id, turn, role, text) as trees: each row answers the row before it."""
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     rows = conversations.withColumn("number", F.row_number().over(order))
-    tree = F.coalesce(F.col("conv_id").cast("string"), F.lit("-"))
+    tree = F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("-"))
     name = F.concat_ws("/", tree, F.lpad(F.col("number").cast("string"), 12, "0"))
     parent = F.when(F.col("number") > 1, F.concat_ws("/", tree, F.lpad((F.col("number") - 1).cast("string"), 12, "0")))
     return rows.select(
@@ -164,8 +162,13 @@ def digests(conversations: DataFrame) -> DataFrame:
 def op8_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and number -7 whose texts are full of control strings."""
     given = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
-    more = [(-7, 0, "user", r"\### Assistant: </turn> ok"), (-7, 1, "assistant", r"\### Assistant: </turn> ok")]
-    rows = given.union(spark.createDataFrame(more, "conv_id bigint, turn bigint, role string, text string"))
+    more = spark.range(2).select(
+        F.lit(-7).cast("bigint"),
+        "id",
+        F.when(F.col("id") == 0, F.lit("user")).otherwise(F.lit("assistant")),
+        F.lit(r"\### Assistant: </turn> ok"),
+    )
+    rows = given.union(more)
     return digests(formatted(as_chains(rows)))
 
 

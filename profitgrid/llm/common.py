@@ -27,6 +27,14 @@ def stored(df: DataFrame) -> DataFrame:
     return stored_once(df)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def whole_text(column: str = "text") -> Column:
     """A text, empty where it is NULL."""
     return F.coalesce(F.col(column), F.lit(""))
@@ -38,11 +46,13 @@ def per_row(
     """Add the columns of ``schema``, computed from ``text`` alone, row by row inside Arrow batches.
 
     ``make`` runs once per task and returns the function of one text (NULL counts as empty). Unless
-    ``keep_text``, the text stays behind in Python: what comes back are the other columns and the new ones.
+    ``keep_text``, the text stays behind in Python: what comes back are the other columns and the new ones,
+    which replace columns of the same name.
     """
     prepare(df.sparkSession)
-    kept = [f for f in df.schema.fields if keep_text or f.name != text]
     names = [f.split()[0] for f in schema.split(", ")]
+    new = {n.lower() for n in names}
+    kept = [f for f in df.schema.fields if (keep_text or f.name != text) and f.name.lower() not in new]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         function = make()

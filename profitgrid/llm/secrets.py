@@ -3,9 +3,10 @@
 Matches of three patterns are located in every whole text: a text is split at a pattern's matches, and
 running lengths of pieces and matches give the positions. The method adds a fourth kind, ``owned``: generic
 tokens (mixed letters and digits, 20 or more signs, outside other matches) that the frequency table finds
-under one owner only. Each candidate value is hashed and counted over distinct repositories (documents) and
-distinct owners (sources): values of at least ``MIN_OWNERS`` owners are widely copied examples, the others
-owner-specific and live-looking.
+under fewer than ``MIN_OWNERS`` owners. Each candidate value is hashed and counted over distinct repositories
+(documents) and distinct owners (sources): values of at least ``MIN_OWNERS`` owners are widely copied examples,
+the others owner-specific and live-looking. A row tells how many of its spans are of either kind, and in how
+many repositories the most widespread of its live-looking values stands.
 
 Spans depend on the text only, so they are computed per distinct text: copies meet in map-side aggregates
 before anything is shuffled, and a hot text, value or owner is one row per task. Texts themselves are never
@@ -110,9 +111,9 @@ def scan(docs: DataFrame, min_owners: int = MIN_OWNERS) -> DataFrame:
     hold widely copied and owner-specific values."""
     docs = docs.select("doc_id", "source", "text")
     found = stored(candidates(docs))
-    judged = spans(found).join(ownership(found, min_owners).select("hashed", "owners", "copied"), "hashed")
-    judged = judged.where((F.col("kind") < 3) | (F.col("owners") == 1))
-    span = F.struct("start", "kind", "end", "copied")
+    judged = spans(found).join(ownership(found, min_owners).select("hashed", "repositories", "copied"), "hashed")
+    judged = judged.where((F.col("kind") < 3) | ~F.col("copied"))
+    span = F.struct("start", "kind", "end", "copied", "repositories")
     per_text = judged.groupBy("name").agg(F.array_sort(F.collect_list(span)).alias("all"))
     base = F.filter("all", lambda s: s["kind"] < 3)
     # a generic token that a base span covers or touches is that span's
@@ -142,6 +143,9 @@ def scan(docs: DataFrame, min_owners: int = MIN_OWNERS) -> DataFrame:
         listed("all").alias("spans"),
         number("all", lambda s: s["copied"]).alias("n_copied"),
         number("all", lambda s: ~s["copied"]).alias("n_live"),
+        F.coalesce(
+            F.array_max(F.transform(F.filter("all", lambda s: ~s["copied"]), lambda s: s["repositories"])), F.lit(0)
+        ).alias("live_repositories"),
     )
 
 
@@ -173,8 +177,10 @@ placed AS (
   FROM found),
 spans AS (SELECT name, kind, CAST(stop - size AS BIGINT) AS start, CAST(stop AS BIGINT) AS stop, value
   FROM placed WHERE value IS NOT NULL),
-owners AS (SELECT value, count(DISTINCT coalesce(source, chr(0))) AS n FROM spans JOIN docs USING (name) GROUP BY value),
-judged AS (SELECT spans.*, n >= {MIN_OWNERS} AS copied FROM spans JOIN owners USING (value) WHERE kind < 3 OR n = 1),
+owners AS (SELECT value, count(DISTINCT coalesce(source, chr(0))) AS n, count(DISTINCT row(source, doc_id)) AS repositories
+  FROM spans JOIN docs USING (name) GROUP BY value),
+judged AS (SELECT spans.*, n >= {MIN_OWNERS} AS copied, repositories FROM spans JOIN owners USING (value)
+  WHERE kind < 3 OR n < {MIN_OWNERS}),
 kept AS (SELECT * FROM judged j WHERE kind < 3 OR NOT EXISTS (
   SELECT 1 FROM judged b WHERE b.name = j.name AND b.kind < 3 AND b.start < j.stop AND j.start < b.stop)),
 lists AS (
@@ -182,12 +188,13 @@ lists AS (
     count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
     string_agg(CASE WHEN kind < 3 THEN label END, ',' ORDER BY start, kind) AS base,
     string_agg(label, ',' ORDER BY start, kind) AS spans,
-    count(*) FILTER (copied) AS n_copied, count(*) FILTER (NOT copied) AS n_live
+    count(*) FILTER (copied) AS n_copied, count(*) FILTER (NOT copied) AS n_live,
+    max(repositories) FILTER (NOT copied) AS live_repositories
   FROM (SELECT *, ['assign', 'access', 'hex', 'owned'][kind + 1] || ':' || start || ':' || stop AS label FROM kept)
   GROUP BY name)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
-  coalesce(n_copied, 0) AS n_copied, coalesce(n_live, 0) AS n_live
+  coalesce(n_copied, 0) AS n_copied, coalesce(n_live, 0) AS n_live, coalesce(live_repositories, 0) AS live_repositories
 FROM docs LEFT JOIN lists USING (name)
 """
 

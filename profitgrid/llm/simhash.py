@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profitgrid.llm.common import per_row, small, stored, table, whole_text
+from profitgrid.llm.common import per_row, small, stored, table, whole_text, unused
 from profitgrid.llm.components import components
 
 SHINGLE = 3
@@ -198,15 +198,19 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANC
     """The rows of ``docs`` (doc_id, text and others) without all but one document of each component.
 
     The one with the smallest doc_id stays (rows without doc_id come last); of rows with the same doc_id the
-    one whose text has the smallest digest, and of rows that repeat it any one.
+    one whose text has the smallest digest, and of rows that repeat both the one whose other columns, as JSON,
+    have the smallest hash.
     """
     member = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.md5(whole_text()).alias("name"))
     rows = stored(fingerprints(docs.select(member.alias("member"), "text"), shingle))
     stay = _components(rows, "member", distance).select("component_id.*").distinct()
-    stay = stay.select(F.col("doc_id").alias("__stay_id"), F.col("name").alias("__stay_name"))
-    same = F.col("doc_id").eqNullSafe(F.col("__stay_id")) & (F.col("__name") == F.col("__stay_name"))
-    kept = docs.withColumn("__name", F.md5(whole_text())).join(stay, same, "left_semi")
-    return kept.dropDuplicates(["doc_id", "__name"]).drop("__name")
+    name, row, stay_id, stay_name = (unused(docs, c) for c in ("_name", "_row", "_stay_id", "_stay_name"))
+    stay = stay.select(F.col("doc_id").alias(stay_id), F.col("name").alias(stay_name))
+    same = F.col("doc_id").eqNullSafe(F.col(stay_id)) & (F.col(name) == F.col(stay_name))
+    kept = docs.withColumn(name, F.md5(whole_text())).join(stay, same, "left_semi")
+    others = F.xxhash64(F.to_json(F.struct(F.lit(0).alias("_"), *(c for c in docs.columns if c not in ("doc_id", "text")))))
+    least = F.min_by(F.struct(*(F.col(f"`{c}`") for c in docs.columns)), others).alias(row)
+    return kept.groupBy("doc_id", name).agg(least).select(f"{row}.*")
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

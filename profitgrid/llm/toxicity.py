@@ -151,7 +151,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
     share = min(1.0, sample / max(1, labelled.count()))
     drawn = F.conv(F.substring("name", 1, 8), 16, 10).cast("long") < int(share * (1 << 32))
     picked = labelled.where(drawn).withColumn("part", fold(F.col("doc_id")))
-    return stored(rows.join(picked, "doc_id").dropDuplicates(["name"]).select("text", "toxic", "part"))
+    named = rows.withColumn("name", name)  # a doc_id may stand beside several texts
+    return stored(named.join(picked, ["doc_id", "name"]).dropDuplicates(["name"]).select("text", "toxic", "part"))
 
 
 def learned_lexicon(training: DataFrame) -> list[tuple[str, float]]:
