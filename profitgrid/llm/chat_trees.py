@@ -1,10 +1,10 @@
 """Operator 8: chat formatting of reply trees. Built-in functions only.
 
-Messages point to the message they answer. Self-joins enumerate the paths from every leaf to its root: a
-table of jumps doubles its reach in each round, and paths extend by it, so a tree of depth d takes log d
-rounds and not d. Only message names travel in these rounds; each round is written to the shared folder.
-Branches of a tree are ranked by the sum of their messages' scores, and each chosen path becomes one
-conversation in one string:
+Messages point to the message they answer. Self-joins double, round by round, how far up the tree a message
+sees: after k rounds it knows the message 2^k above it and the sum of the scores in between, so the sum of every
+path from a leaf to its root takes log(depth) rounds and one row per message. Leaves are then ranked within
+their tree, and only the chosen branches are listed, by the same jumps. Only message names and scores travel in
+these rounds; each is written to the shared folder. Each chosen path becomes one conversation in one string:
 
     ### role:\\ntext</turn>\\n
 
@@ -46,34 +46,55 @@ def unescape(text: Column) -> Column:
     return F.regexp_replace(text, r"(?s)\\(.)", "$1")
 
 
-def paths(messages: DataFrame) -> DataFrame:
-    """(leaf, node, up) for each leaf and each message on its way to the root, ``up`` steps above the leaf.
-
-    ``messages`` has (tree, node, parent); node names are unique.
-    """
+def jumps(messages: DataFrame) -> list[DataFrame]:
+    """Rounds of (node, above, total): the message 2^k above a message in round k, NULL beyond the root, and the
+    sum of the scores from the message up to that one, which is left out. ``messages`` has (tree, node, parent,
+    score); node names are unique. In the last round all paths that have a root have ended."""
     known = messages.select(F.col("node").alias("parent"))
     links = messages.join(known, "parent", "left_semi").select("node", F.col("parent").alias("above"))
-    jumps = stored(links)
-    leaves = messages.select("node").join(links.select(F.col("above").alias("node")), "node", "left_anti")
-    found = stored(leaves.select(F.col("node").alias("leaf"), "node", F.lit(0).cast("bigint").alias("up")))
+    score = F.coalesce(F.col("score"), F.lit(0.0)).cast("double").alias("total")
+    rounds = [stored(messages.select("node", score).join(links, "node", "left").select("node", "above", "total"))]
     reach, most = 1, messages.groupBy("tree").count().agg(F.max("count")).first()[0] or 1
-    while reach < most and jumps.head(1):  # a ring never runs out of jumps, but has no more messages than its tree
-        farther = found.join(jumps, "node").select("leaf", F.col("above").alias("node"), F.col("up") + reach)
-        found, reach = stored(found.union(farther)), 2 * reach
-        second = jumps.select(F.col("node").alias("above"), F.col("above").alias("top"))
-        jumps = stored(jumps.join(second, "above").select("node", F.col("top").alias("above")))
-    tops = found.join(links, "node", "left_anti").select("leaf")
-    return found.join(tops, "leaf", "left_semi")
+    # a ring never ends, but no path is longer than its tree is large
+    while reach < most and rounds[-1].where(F.col("above").isNotNull()).head(1):
+        now = rounds[-1]
+        next_ = now.select(F.col("node").alias("above"), F.col("above").alias("top"), F.col("total").alias("more"))
+        farther = now.join(next_, "above", "left")
+        total = F.col("total") + F.coalesce("more", F.lit(0.0))
+        rounds.append(stored(farther.select("node", F.col("top").alias("above"), total.alias("total"))))
+        reach *= 2
+    return rounds
+
+
+def leaves(messages: DataFrame, rounds: list[DataFrame]) -> DataFrame:
+    """(tree, leaf, score): the messages that no other answers and whose path has a root, with the path's score."""
+    answered = rounds[0].where(F.col("above").isNotNull()).select(F.col("above").alias("node"))
+    ended = rounds[-1].where(F.col("above").isNull()).join(answered, "node", "left_anti")
+    named = messages.select("tree", "node").join(ended.select("node", "total"), "node")
+    return named.select("tree", F.col("node").alias("leaf"), F.col("total").alias("score"))
+
+
+def listed(chosen: DataFrame, rounds: list[DataFrame]) -> DataFrame:
+    """(leaf, node, up) for each leaf of ``chosen`` and each message on its way to the root, ``up`` steps above."""
+    found = stored(chosen.select("leaf", F.col("leaf").alias("node"), F.lit(0).cast("bigint").alias("up")))
+    for k, jump in enumerate(rounds):
+        farther = found.join(jump.where(F.col("above").isNotNull()), "node")
+        found = stored(found.union(farther.select("leaf", F.col("above").alias("node"), F.col("up") + (1 << k))))
+    return found
+
+
+def paths(messages: DataFrame) -> DataFrame:
+    """(leaf, node, up) of all branches."""
+    rounds = jumps(messages)
+    return listed(leaves(messages, rounds).select("leaf"), rounds)
 
 
 def branches(messages: DataFrame, keep: int = 1) -> DataFrame:
     """(leaf, node, up) of the ``keep`` best branches of each tree; messages: (tree, node, parent, score)."""
-    found = paths(messages)
-    scored = found.join(messages.select("tree", "node", "score"), "node")
-    scored = scored.groupBy("tree", "leaf").agg(F.sum("score").alias("score"))
+    rounds = jumps(messages)
     best = Window.partitionBy("tree").orderBy(F.desc("score"), "leaf")
-    chosen = scored.withColumn("place", F.row_number().over(best)).where(F.col("place") <= keep)
-    return found.join(chosen.select("leaf"), "leaf", "left_semi")
+    ranked = leaves(messages, rounds).withColumn("place", F.row_number().over(best))
+    return listed(ranked.where(F.col("place") <= keep).select("leaf"), rounds)
 
 
 def formatted(messages: DataFrame, keep: int = 1) -> DataFrame:
@@ -106,8 +127,9 @@ def formatted(messages: DataFrame, keep: int = 1) -> DataFrame:
     )
 
 
-def read_back(conversations: DataFrame) -> DataFrame:
-    """(conv_id, formatted, said, learned): roles and texts, and the text under the loss mask turn by turn."""
+def read_back(conversations: DataFrame, *more: str) -> DataFrame:
+    """(conv_id, formatted, said, learned): roles and texts, and the text under the loss mask turn by turn.
+    ``more`` names columns to keep."""
     blocks = F.split("formatted", END, -1)
     pieces = F.zip_with(
         F.slice(blocks, 1, F.size(blocks) - 1),
@@ -119,7 +141,7 @@ def read_back(conversations: DataFrame) -> DataFrame:
             (turn["loss_end"] - turn["loss_begin"]).cast("int").alias("length"),
         ),
     )
-    rows = conversations.select("conv_id", "formatted", pieces.alias("pieces"))
+    rows = conversations.select("conv_id", "formatted", *more, pieces.alias("pieces"))
     said = F.transform(
         "pieces",
         lambda p: F.struct(
@@ -129,7 +151,7 @@ def read_back(conversations: DataFrame) -> DataFrame:
     )
     under = F.filter("pieces", lambda p: p["at"].isNotNull())
     learned = F.transform(under, lambda p: unescape(p["block"].substr(p["at"], p["length"])))
-    return rows.select("conv_id", "formatted", said.alias("said"), learned.alias("learned"))
+    return rows.select("conv_id", "formatted", *more, said.alias("said"), learned.alias("learned"))
 
 
 def as_chains(conversations: DataFrame) -> DataFrame:
@@ -159,6 +181,37 @@ def digests(conversations: DataFrame) -> DataFrame:
     )
 
 
+def as_replies(conversations: DataFrame) -> DataFrame:
+    """Conversations as trees with branches: turn t answers turn (t - 1) div 2, so each has up to two answers.
+    Of rows with the same turn the first by role and text counts. A message's score is the length of its text
+    modulo 97."""
+    first = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
+    rows = conversations.where(F.col("turn") >= 0).withColumn("place", F.row_number().over(first)).where("place = 1")
+    tree = F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("-"))
+
+    def name(turn: Column) -> Column:
+        return F.concat_ws("/", tree, F.lpad(turn.cast("string"), 12, "0"))
+
+    parent = F.when(F.col("turn") > 0, name(F.expr("(turn - 1) div 2")))
+    score = (F.char_length(whole_text()) % 97).cast("double")
+    return rows.select(
+        tree.alias("tree"), name(F.col("turn")).alias("node"), parent.alias("parent"), score.alias("score"), "conv_id", "role", "text"
+    )
+
+
+def op8_reply_branches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two best branches of each conversation's reply tree, formatted and read back."""
+    trees = as_replies(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    read = read_back(formatted(trees, keep=2), "leaf")
+    turns = F.transform("said", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    return read.select(
+        "conv_id",
+        F.split("leaf", "/")[1].cast("bigint").alias("leaf"),
+        F.size("said").cast("bigint").alias("n_turns"),
+        F.sha2(F.array_join(turns, ""), 256).alias("turns_sha256"),
+    )
+
+
 def op8_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and number -7 whose texts are full of control strings."""
     given = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
@@ -190,3 +243,26 @@ SELECT conv_id, count(*) AS n_turns,
   CAST(sum(size) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id
 """
+
+BRANCHES_SQL = r"""
+WITH RECURSIVE rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM (SELECT *, row_number() OVER (PARTITION BY conv_id, turn ORDER BY role NULLS FIRST, text NULLS FIRST) AS place
+        FROM conversations WHERE turn >= 0) WHERE place = 1
+), links AS (
+  SELECT c.conv_id, c.turn, p.turn AS above FROM rows c LEFT JOIN rows p
+  ON p.conv_id IS NOT DISTINCT FROM c.conv_id AND c.turn > 0 AND p.turn = (c.turn - 1) // 2
+), path AS (
+  SELECT conv_id, turn AS leaf, turn, 0 AS up FROM rows
+  WHERE NOT EXISTS (SELECT 1 FROM links l WHERE l.conv_id IS NOT DISTINCT FROM rows.conv_id AND l.above = rows.turn)
+  UNION ALL
+  SELECT path.conv_id, leaf, l.above, up + 1 FROM path JOIN links l
+  ON l.conv_id IS NOT DISTINCT FROM path.conv_id AND l.turn = path.turn WHERE l.above IS NOT NULL
+), branch AS (
+  SELECT p.conv_id, leaf, sum(length(text) % 97) AS score, count(*) AS n_turns,
+    sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY up DESC)) AS turns_sha256
+  FROM path p JOIN rows r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.turn = p.turn GROUP BY p.conv_id, leaf
+)
+SELECT conv_id, leaf, n_turns, turns_sha256 FROM branch
+QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY score DESC, leaf) <= 2
+"""

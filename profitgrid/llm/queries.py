@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from profitgrid.llm import chat_trees, decontaminate, exact_topk, fp_tree, line_dedup, secrets
 from profitgrid.llm.bpe_codec import op10_bpe_codec
-from profitgrid.llm.chat_trees import op8_chat_trees
+from profitgrid.llm.chat_trees import op8_chat_trees, op8_reply_branches
 from profitgrid.llm.decontaminate import op3_decontamination, op3_proximity
 from profitgrid.llm.exact_topk import op2_exact_topk
 from profitgrid.llm.fp_tree import op13_ranked_search
@@ -26,7 +26,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = [
         op1_secret_scan, op2_exact_topk, op3_decontamination, op4_toxicity, op5_line_dedup,
         op6_simhash, op7_token_counts, op8_chat_trees, op9_suffix_dedup, op10_bpe_codec,
-        op11_spelling_variants, op12_language_id, op13_ranked_search, op3_proximity,
+        op11_spelling_variants, op12_language_id, op13_ranked_search, op3_proximity, op8_reply_branches,
     ]
     return {q.__name__: q for q in every}
 
@@ -39,5 +39,6 @@ def oracle_sql() -> dict[str, str]:
         "op3_decontamination": decontaminate.SQL,
         "op5_line_dedup": line_dedup.SQL,
         "op8_chat_trees": chat_trees.SQL,
+        "op8_reply_branches": chat_trees.BRANCHES_SQL,
         "op13_ranked_search": fp_tree.SQL,
     }
