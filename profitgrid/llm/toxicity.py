@@ -33,7 +33,9 @@ from profitgrid.llm.common import per_row, stored, table, whole_text
 
 SAMPLE = 20_000
 LEXICON = 400
-LEAST_SHARE = 0.03
+LEAST_TEXTS = 3
+CERTAIN = 10.83  # log-likelihood ratio of a lexicon entry; chance gives as much once in 1,000 entries
+IMPLIED = 0.9
 STRONG, WEAK = 3.0, 1.0  # log odds of a lexicon entry
 THRESHOLD = 0.5
 NEAR = 5
@@ -155,9 +157,19 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> D
     return stored(named.join(picked, ["doc_id", "name"]).dropDuplicates(["name"]).select("text", "toxic", "part"))
 
 
+def _times_log(count: Column) -> Column:
+    """count * log(count), zero for zero."""
+    return F.when(count > 0, count * F.log(count)).otherwise(0.0)
+
+
 def learned_lexicon(training: DataFrame) -> list[tuple[str, float]]:
     """At most ``LEXICON`` words and beginnings, with their log odds, that more toxic than clean texts of the
-    boosting folds have."""
+    boosting folds have.
+
+    An entry needs ``LEAST_TEXTS`` toxic texts and a log-likelihood ratio of ``CERTAIN`` against chance, so rare
+    words come in once there are enough labels, whatever their share. A beginning that one word accounts
+    for, by ``IMPLIED`` of its toxic texts or more, leaves its place to that word.
+    """
     rows = training.where(F.col("part") > 1)
     n = rows.agg(F.sum("toxic"), F.sum(1 - F.col("toxic"))).first()
     toxic, clean = (n[0] or 0), (n[1] or 0)
@@ -171,8 +183,19 @@ def learned_lexicon(training: DataFrame) -> list[tuple[str, float]]:
     counts = counts.where("word <> ''").groupBy("word")
     counts = counts.agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
     odds = F.log((F.col("t") + 0.5) / (toxic + 1)) - F.log((F.col("c") + 0.5) / (clean + 1))
-    best = counts.where((F.col("t") >= max(3, LEAST_SHARE * toxic)) & (odds >= WEAK))
-    best = best.select("word", odds.alias("odds")).orderBy(F.desc("odds"), "word").limit(LEXICON)
+    t, c = F.col("t"), F.col("c")
+    cells, edges = [t, c, toxic - t, clean - c, F.lit(toxic + clean)], [F.lit(toxic), F.lit(clean), t + c, toxic + clean - t - c]
+    ratio = 2 * (sum(map(_times_log, cells), F.lit(0.0)) - sum(map(_times_log, edges), F.lit(0.0)))
+    certain = (odds >= WEAK) & (ratio >= CERTAIN)
+    found = stored(counts.where((F.col("t") >= LEAST_TEXTS) & certain).select("word", "t", odds.alias("odds")))
+    words = found.where(~F.col("word").endswith("*")).select("word", "t")
+    beginnings = [F.concat(F.left("word", F.lit(n)), F.lit("*")) for n in BEGINNINGS]
+    most = words.select(F.explode(F.array_distinct(F.array(*beginnings))).alias("of"), "t")
+    most = most.groupBy("of").agg(F.max("t").alias("most"))
+    kept = found.join(most, F.col("word") == F.col("of"), "left").where(
+        F.col("most").isNull() | (F.col("most") < IMPLIED * F.col("t"))
+    )
+    best = kept.select("word", "odds").orderBy(F.desc("odds"), "word").limit(LEXICON)
     return [(r.word, r.odds) for r in best.collect()]
 
 
