@@ -14,6 +14,7 @@ from profitgrid.operators.sheet import asm_averages
 from profitgrid.periods import Periods
 from profitgrid.plans.frames import Frames
 from profitgrid.plans.report import wide_report
+from profitgrid.session import stored_together
 
 MONTH = ["month_key"]
 KPIS = ("ltn_avg", "psdn_avg", "approve_rate_avg")
@@ -46,10 +47,10 @@ def npl_by_area(frames: Frames, periods: Periods, fan_out: bool = True) -> DataF
     )
 
 
-def _with_npl(frames: Frames, periods: Periods, fan_out: bool) -> DataFrame:
+def _with_npl(managers: DataFrame, ratios: DataFrame) -> DataFrame:
     """Managers, the NPL ratio of their region, and whether the region has one at all."""
-    ratios = npl_by_area(frames, periods, fan_out).withColumn("has_npl", F.lit(True))
-    rows = _managers(frames, periods).join(F.broadcast(ratios), ["month_key", "area_code"], "left")  # at most eight per month
+    ratios = F.broadcast(ratios.withColumn("has_npl", F.lit(True)))  # at most eight rows per month
+    rows = managers.join(ratios, ["month_key", "area_code"], "left")
     return rows.withColumn("has_npl", F.coalesce("has_npl", F.lit(False)))
 
 
@@ -63,7 +64,8 @@ def asm_npl_report(
 
     KPI ranks count managers whose region has no ratio, too; the report leaves these managers out.
     """
-    rows = add_ranks(_with_npl(frames, periods, fan_out), MONTH, [*KPI_RANKS, NPL_RANK], values_per_task)
+    rows = _with_npl(_managers(frames, periods), npl_by_area(frames, periods, fan_out))
+    rows = add_ranks(rows, MONTH, [*KPI_RANKS, NPL_RANK], values_per_task)
     return rows.where("has_npl").select(
         "month_key",
         "area_code",
@@ -97,7 +99,9 @@ def scorecard(
     finance = wide_report(frames, periods).select(
         month_key(F.col("year"), F.col("month")).alias("month_key"), "area_name", *FINANCE, F.lit(True).alias("has_finance")
     )
-    rows = _with_npl(frames, periods, fan_out).join(F.broadcast(finance), ["month_key", "area_name"], "left")  # at most eight per month
+    # Two small reports and the managers do not depend on each other: their jobs run side by side.
+    finance, ratios, managers = stored_together(finance, npl_by_area(frames, periods, fan_out), _managers(frames, periods))
+    rows = _with_npl(managers, ratios).join(F.broadcast(finance), ["month_key", "area_name"], "left")  # at most eight per month
     rows = rows.withColumn("complete", F.col("has_npl") & F.coalesce("has_finance", F.lit(False)))
     finance_ranks = [Rank(c, f"rank_{c}", c in best_high, among="complete") for c in FINANCE]
     rows = add_ranks(rows, MONTH, [*KPI_RANKS, NPL_RANK, *finance_ranks], values_per_task).where("complete")
