@@ -2,23 +2,27 @@
 
 For every prefix of a word the last token of its encoding is stored: token t may end prefix i if the
 prefix without t ends in a token s such that s and t stay apart when both are encoded together. There is
-exactly one such t, and the count is that of the shorter prefix plus one. Words are independent, so the
-count at every prefix of a text is the sum of the words before it plus the count inside the word that it
-cuts. Truncation and budget questions are then look-ups; nothing is encoded again.
+exactly one such t, and the count is that of the shorter prefix plus one. An automaton of all tokens lists
+those that end at each byte, so only they are tried. Whether two tokens stay apart follows from their merges,
+undone from the last to the first: nothing is encoded. Words are independent, so the count at every prefix
+of a text is the sum of the words before it plus the count inside the word that it cuts. Truncation and
+budget questions are then look-ups.
 
 Two cuts change how a text splits into words and are put right: a prefix that ends in a run of white space
 keeps the run together, and a cut contraction ("'r" of "'re") is two words. A cut special token counts as
 ordinary bytes of one word; all other counts equal those of the library for the prefix as a text.
 
 Defined cases: NULL and empty texts have no bytes and no tokens; repeated rows give repeated results; NULL
-doc_ids are kept; other columns are not looked at; long words cost (length x longest token).
+doc_ids are kept; other columns are not looked at; long words cost (length x tokens that end at a byte).
 """
 
 from __future__ import annotations
 
 import functools
+from array import array
 from collections.abc import Callable
 
+import ahocorasick
 import numpy as np
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -32,44 +36,82 @@ SPACE = regex.compile(r"\s+")
 CONTRACTIONS = ("'re", "'ve", "'ll")  # a shorter one cannot be cut inside
 
 
+class Pairs:
+    """Whether two tokens, each the encoding of its own bytes, stay apart when they stand side by side.
+
+    Encoding merges the pair of lowest rank first, the leftmost among equals, and a merge always has a higher
+    rank than those that made its parts (else ``ordered`` is false and pairs are encoded instead). So the two
+    signs that meet at the border are known at every moment of the encoding: undoing the later of the two
+    tokens' last merges gives those before it. The tokens do not stay apart if at some moment the two signs
+    have a merge of their own that comes before the next merge that takes one of them away.
+    """
+
+    def __init__(self, bpe: byte_bpe.ByteBpe) -> None:
+        self.bpe = bpe
+        self.parts: list[tuple[int, int, int]] = [(-1, -1, -1)] * len(bpe.token_bytes)  # rank, left, right
+        made: dict[int, int] = {}
+        self.ordered = True
+        for (left, right), (rank, new) in bpe.merges.items():
+            made[new] = made.get(new, 0) + 1
+            self.parts[new] = (rank, left, right)
+        for rank, left, right in self.parts:
+            if rank >= 0 and rank <= max(self.parts[left][0], self.parts[right][0]):
+                self.ordered = False
+        self.ordered &= all(n == 1 for n in made.values())
+
+    def apart(self, left: int, right: int) -> bool:
+        if not self.ordered:
+            strings = self.bpe.token_bytes
+            return self.bpe.merged(strings[left] + strings[right]) == [left, right]
+        merges, parts = self.bpe.merges, self.parts
+        limit, tie = 1 << 60, False
+        while True:
+            found = merges.get((left, right))
+            if found and (found[0] < limit or tie and found[0] == limit):
+                return False
+            of_left, of_right = parts[left], parts[right]
+            if of_left[0] > of_right[0]:
+                limit, tie, left = of_left[0], False, of_left[2]
+            elif of_right[0] >= 0:  # of equal merges the left one comes first, so the right one is undone first
+                limit, tie, right = of_right[0], True, of_right[1]
+            else:
+                return True
+
+
 class PrefixCounter:
     """Counts at every prefix of words and texts for one vocabulary."""
 
     def __init__(self, path: str) -> None:
         self.bpe = byte_bpe.load(path)
+        self.pairs = Pairs(self.bpe)
         self.words = byte_bpe.WordCache(self._word)
-        self._apart: dict[tuple[int, int], bool] = {}
-        self._whole: dict[int, bool] = {}
-
-    def _stay_apart(self, left: int, right: int) -> bool:
-        found = self._apart.get((left, right))
-        if found is None:
-            if len(self._apart) >= byte_bpe.CACHED_WORDS:
-                self._apart.clear()
-            strings = self.bpe.token_bytes
-            found = self.bpe.merged(strings[left] + strings[right]) == [left, right]
-            self._apart[left, right] = found
-        return found
-
-    def _is_whole(self, token: int) -> bool:
-        """Whether the bytes of a token are encoded as that token."""
-        found = self._whole.get(token)
-        if found is None:
-            found = self._whole[token] = self.bpe.merged(self.bpe.token_bytes[token]) == [token]
-        return found
+        self._apart: dict[int, bool] = {}
+        self._automaton = ahocorasick.Automaton()
+        for string, token in self.bpe.id_of.items():
+            whole = self.bpe.merged(string) == [token]
+            if whole:  # no other token can be part of an encoding
+                self._automaton.add_word(string.decode("latin-1"), (len(string), token))
+        self._automaton.make_automaton()
 
     def of_word(self, word: bytes) -> list[int]:
         """Number of tokens of word[:1], word[:2], ... word."""
-        n, token, longest = len(word), self.bpe.id_of.get, self.bpe.longest
-        last, counts = [-1] * (n + 1), [0] * (n + 1)
-        for end in range(1, n + 1):
-            for start in range(max(0, end - longest), end):
-                t = token(word[start:end])
-                if t is None:
+        last, counts = [0] * (len(word) + 1), [0] * (len(word) + 1)
+        known = self._apart
+        for end, (size, token) in self._automaton.iter(word.decode("latin-1")):
+            end += 1
+            if counts[end]:
+                continue
+            start = end - size
+            if start:
+                pair = last[start] << 32 | token
+                apart = known.get(pair)
+                if apart is None:
+                    if len(known) >= byte_bpe.CACHED_WORDS:
+                        known.clear()
+                    apart = known[pair] = self.pairs.apart(last[start], token)
+                if not apart:
                     continue
-                if self._stay_apart(last[start], t) if start else self._is_whole(t):
-                    last[end], counts[end] = t, counts[start] + 1
-                    break
+            last[end], counts[end] = token, counts[start] + 1
         return counts[1:]
 
     def _word(self, word: str) -> tuple[int, int, bytes, bool]:
@@ -81,11 +123,36 @@ class PrefixCounter:
             counts = self.of_word(raw)
             if word in CONTRACTIONS:
                 counts[1] = 2
-        return len(raw), counts[-1], np.array(counts, np.int32).tobytes(), bool(SPACE.fullmatch(word))
+        blank = not word[-1].isalnum() and SPACE.fullmatch(word) is not None
+        return len(raw), counts[-1], array("i", counts).tobytes(), blank
+
+    def total(self, text: str) -> int:
+        """Token count of a whole text."""
+        return sum([found[1] for found in map(self.words.__getitem__, self.bpe.words(text))])
+
+    def total_and_fitting(self, text: str, raw: bytes, limit: int) -> tuple[int, int]:
+        """Token count of a whole text, and the bytes of its longest prefix with at most ``limit`` tokens.
+
+        Behind the first word that begins after more than ``limit`` tokens no prefix fits, nor, since a run of
+        white space may be cut in two, behind the word after it; so only the prefixes before are compared.
+        """
+        words = self.bpe.words(text)
+        totals = [found[1] for found in map(self.words.__getitem__, words)]
+        total = sum(totals)
+        if total <= limit:
+            return total, len(raw)
+        before, near = 0, 0
+        while before <= limit:
+            before += totals[near]
+            near += 1
+        counts = self._of_words(words[: near + 2])
+        return total, longest_fitting(counts, raw[: len(counts)], limit)
 
     def of_text(self, text: str) -> np.ndarray:
         """Token count at every byte prefix: element i is that of the first i + 1 bytes."""
-        words = self.bpe.words(text)
+        return self._of_words(self.bpe.words(text))
+
+    def _of_words(self, words: list[str]) -> np.ndarray:
         if not words:
             return np.zeros(0, np.int32)
         sizes, totals, inside, spaces = zip(*map(self.words.__getitem__, words), strict=True)
@@ -127,9 +194,9 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT, text: str = "te
 
     def make() -> Callable[[str], tuple]:
         def row(value: str) -> tuple:
-            raw, counts = value.encode(), counter(path).of_text(value)
-            total = int(counts[-1]) if len(counts) else 0
-            return len(raw), total, total > limit, longest_fitting(counts, raw, limit)
+            raw = value.encode()
+            total, fitting = counter(path).total_and_fitting(value, raw, limit)
+            return len(raw), total, total > limit, fitting
 
         return row
 
