@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+from dataclasses import replace
 
 import pytest
 from fixtures import as_set, balances, direct, frames, head, ledger, loan, manager, plan_of, posting
@@ -243,3 +244,23 @@ def test_stored_folders_can_be_removed(spark):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(path)
     context._profitgrid_folders = kept
+
+
+def test_no_raw_row_of_stored_facts_is_shuffled_or_joined(spark, folder):
+    source = some_frames(spark)
+    postings, loans = stored_facts(spark, folder, source.ledger.collect(), source.balances.collect())
+    stored_ = replace(source, ledger=postings, balances=loans)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        physical = report.allocated(stored_, Periods.of(2023, 3))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for column in ("analysis_code#", "max_bucket#"):
+        lines = physical.splitlines()
+        at = next(i for i, line in enumerate(lines) if "FileScan" in line and column in line)
+        above = []
+        for line in reversed(lines[:at]):
+            above.append(line)
+            if "Exchange" in line:
+                break
+        assert any("HashAggregate" in line for line in above) and not any("Join" in line for line in above), physical
