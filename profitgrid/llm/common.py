@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 from profitgrid.session import stored_once
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """The named columns of one input table."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet").select(*columns)
@@ -40,6 +43,26 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def _folding() -> bytes:
+    """Byte -> itself, lower case for A-Z, a space for bytes that separate words."""
+    kept = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
+    lower = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+    return bytes(b if b in kept else lower.get(b, 0x20) for b in range(256))
+
+
+FOLDING = _folding()
+
+
+def folded_words(raw: bytes | None) -> list[bytes]:
+    """Runs of digits, letters a-z and signs beyond ASCII in a UTF-8 text, A-Z in lower case."""
+    return raw.translate(FOLDING).split() if raw else []
+
+
+def raw_texts(batch: pa.RecordBatch, text: str = "text") -> list[bytes | None]:
+    """The texts of a batch in UTF-8."""
+    return batch.column(text).cast(pa.large_binary()).to_pylist()
+
+
 def per_row(
     df: DataFrame, text: str, schema: str, make: Callable[[], Callable[[str], tuple]], keep_text: bool = False
 ) -> DataFrame:
@@ -75,12 +98,18 @@ def small(batches: Iterable[pa.RecordBatch], rows: int = 2000) -> Iterator[pa.Re
 
 
 def prepare(spark: SparkSession) -> None:
-    """Before Python runs in tasks: this package on every executor.
+    """Before Python runs in tasks: small Arrow batches, and this package on every executor.
+
+    Spark's default is 10,000 rows a batch, at most 64 MB, held several times over in an executor while a worker
+    reads it. A session that has the default gets 2,000 rows; one with a setting of its own keeps it. Results are
+    computed after this returns, so the setting stays.
 
     Where the package is not on the path of every Python that the session starts (a folder of PYTHONPATH or
     the working folder), Spark sends it along. Executors fetch the archive when they first need it, and new
     ones later, so the driver keeps it until it ends.
     """
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, "2000")
     root = Path(__file__).resolve().parents[2]
     context = spark.sparkContext
     known = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
