@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from profitgrid.llm.common import prepare, small, stored, table, whole_text
+from profitgrid.llm.common import folded_words, prepare, raw_texts, small, stored, table, whole_text
 
 WINDOW = 10
 SHARD_WORDS = 2_000_000
@@ -46,7 +46,7 @@ def words(text: str | None) -> list[str]:
     return WORD.findall((text or "").translate(LOWER)) if text else []
 
 
-def _shard(number: int, docs: list, ids: list[np.ndarray], terms: dict[str, int]) -> Iterator[pa.RecordBatch]:
+def _shard(number: int, docs: list, ids: list[np.ndarray], terms: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
     """Index rows of one shard: a row per term, then one with the documents and their first positions."""
     names = ["shard", "term", "n", "positions", "doc_ids", "starts"]
     all_ids = np.concatenate([np.zeros(0, np.int32), *ids])
@@ -57,7 +57,8 @@ def _shard(number: int, docs: list, ids: list[np.ndarray], terms: dict[str, int]
     starts = np.cumsum([0, *map(len, ids)]).tolist()
     empty = pa.nulls(len(terms), pa.list_(pa.int64()))
     doc_ids = pa.nulls(len(terms), pa.list_(docs[1]))
-    columns = [pa.array(np.full(len(terms), number)), pa.array(terms, pa.string()), pa.array(sizes)]
+    names_of = pa.array(list(terms), pa.binary()).cast(pa.string())
+    columns = [pa.array(np.full(len(terms), number)), names_of, pa.array(sizes)]
     columns += [positions.cast(pa.binary()), doc_ids, empty]
     whole = pa.RecordBatch.from_arrays(columns, names=names)
     for at in range(0, len(terms), 20_000):
@@ -70,13 +71,13 @@ def _shard(number: int, docs: list, ids: list[np.ndarray], terms: dict[str, int]
 def _index(shard_words: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made = TaskContext.get().partitionId() << 32, 0
-        terms: defaultdict[str, int] = defaultdict()
+        terms: defaultdict[bytes, int] = defaultdict()
         terms.default_factory = terms.__len__
         docs, ids, held = [], [], 0
         for batch in small(batches):
             id_type = batch.column("doc_id").type
-            for doc_id, text in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text")), strict=True):
-                found = words(text)
+            for doc_id, raw in zip(batch.column("doc_id").to_pylist(), raw_texts(batch), strict=True):
+                found = folded_words(raw)
                 docs.append(doc_id)
                 ids.append(np.fromiter(map(terms.__getitem__, found), np.int32, len(found)))
                 held += len(found)
@@ -305,11 +306,12 @@ def op3_proximity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(documents, table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+UPPER_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 SQL = f"""
 WITH d AS (
-  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {UPPER_LOWER}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents
 ), b AS (
-  SELECT item_id, regexp_extract_all(lower(text), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  SELECT item_id, regexp_extract_all(translate(text, {UPPER_LOWER}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
   FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL
 ), windows AS (
   SELECT DISTINCT item_id, least(len(w), {WINDOW}) AS size, array_to_string(w[s:s + {WINDOW} - 1], ' ') AS gram
