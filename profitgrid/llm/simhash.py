@@ -34,6 +34,7 @@ from profitgrid.llm.components import components
 
 SHINGLE = 3
 DISTANCE = 3
+FINGERPRINTS_PER_TASK = 20_000
 SEED = 42
 BUCKET = 4096
 BLOCK = 1 << 16
@@ -149,7 +150,9 @@ def links(distinct: DataFrame, distance: int = DISTANCE, bucket: int = BUCKET) -
     """Verified links (a, b) of distinct fingerprints that connect the same components as all links do."""
     if not 0 <= distance <= 3:
         raise ValueError("two halves with one wild bit find distances up to 3")
-    entries = variants(distinct)
+    distinct = stored(distinct)
+    tasks = -(-distinct.count() // FINGERPRINTS_PER_TASK)  # a fingerprint is 8 bytes, its entries are 66 rows
+    entries = variants(distinct.repartition(max(1, tasks)))
     found = None
     for level in range(3):
         keys = ["key", "p1", "p2"][: level + 1]
