@@ -11,7 +11,8 @@ child first, and turns round where the bound is below the k-th best score so far
 not divided further but scored. The best of all shards meet in one ranking per item.
 
 Items are handled in blocks of a bounded number of terms; only the terms of one block travel to the tasks,
-each block reads the texts once. No text is shuffled; what is shuffled are k rows per item and shard.
+each block reads the texts once. No text is shuffled; what is shuffled are the vectors, dealt out evenly, and k
+rows per item and shard.
 
 Defined cases: NULL and texts without terms are in no ranking and not counted; rows with the same item_id
 (NULL included) are one item with the terms of all its texts; an item without terms that occur has no rows;
@@ -29,34 +30,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from profitgrid.llm.common import prepare, small, stored, table
+from profitgrid.llm.common import folded_words, prepare, raw_texts, small, stored, table
 
 BEST = 10
 BLOCK_TERMS = 200_000
-SHARD_DOCS = 16_384
-SHARD_ENTRIES = 4_000_000
+SHARD_DOCS = 8_192
+SHARD_ENTRIES = 2_000_000
 LEAF = 48
 
 
-def _folding() -> bytes:
-    """Byte -> itself, lower case for A-Z, a space for bytes that separate terms."""
-    kept = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
-    lower = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
-    return bytes(b if b in kept else lower.get(b, 0x20) for b in range(256))
-
-
-FOLDING = _folding()
-
-
-def terms_of(raw: bytes | None) -> list[bytes]:
-    """Terms of a text in UTF-8."""
-    return raw.translate(FOLDING).split() if raw else []
-
-
-def _texts(batch: pa.RecordBatch) -> list[bytes | None]:
-    return batch.column("text").cast(pa.large_binary()).to_pylist()
-
-
 def items_of(benchmark: DataFrame) -> DataFrame:
     """(item_id, terms, n): the different terms of each item that has some."""
     prepare(benchmark.sparkSession)
@@ -64,7 +46,7 @@ def items_of(benchmark: DataFrame) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
-            found = pa.array([sorted(set(terms_of(t))) for t in _texts(batch)], pa.list_(pa.binary()))
+            found = pa.array([sorted(set(folded_words(t))) for t in raw_texts(batch)], pa.list_(pa.binary()))
             yield pa.RecordBatch.from_arrays([batch.column("item_id"), found], names=["item_id", "terms"])
 
     rows = benchmark.select("item_id", "text").mapInArrow(run, f"item_id {kind}, terms array<binary>")
@@ -81,8 +63,8 @@ def vectors(docs: DataFrame, number: dict[bytes, int]) -> DataFrame:
         known = number.get
         for batch in small(batches):
             sizes, found, counts = [], [], []
-            for raw in _texts(batch):
-                terms = terms_of(raw)
+            for raw in raw_texts(batch):
+                terms = folded_words(raw)
                 ids = np.array(list(filter(None, map(known, terms))), np.int32)
                 values, times = np.unique(ids, return_counts=True)
                 sizes.append(len(terms))
@@ -274,6 +256,7 @@ def _block(docs: DataFrame, items: list, k: int, shard_docs: int, leaf: int) ->
     asked = [(i, terms) for i, terms in asked if len(terms)]
     kind = docs.schema["doc_id"].dataType.simpleString()
     search = _search(asked, weight, rank, n_docs, n_words, k, shard_docs, leaf)
+    rows = rows.repartition(max(1, -(-n_docs // shard_docs)))  # vectors are a tenth of the texts; even shards, and enough
     return rows.mapInArrow(search, f"item bigint, doc_id {kind}, score bigint")
 
 
