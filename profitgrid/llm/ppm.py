@@ -28,6 +28,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -173,14 +174,11 @@ def learned(docs: DataFrame, order: int = ORDER, sample: int = SAMPLE, least_see
     """The model of the languages of ``docs`` (lang, text)."""
     counts = gram_counts(sampled(docs, sample), order)
     counts = stored(counts.where((F.col("length") < 3) | (F.col("n") >= least_seen)))
-    rows = counts.orderBy("length", "lang", "gram").toPandas()
-    langs = sorted(rows.lang.unique())
-    number = {x: i for i, x in enumerate(langs)}
-    by_length = []
-    for length in range(order + 1):
-        part = rows[rows.length == length]
-        lang = part.lang.map(number).to_numpy(np.int64)
-        by_length.append((lang, part.gram.to_numpy(np.int64).astype(np.uint64), part.n.to_numpy(np.int64)))
+    rows = counts.toArrow()
+    langs = sorted(pc.unique(rows["lang"]).to_pylist())
+    number = pc.index_in(rows["lang"], value_set=pa.array(langs, pa.string())).to_numpy()
+    length, gram, n = (rows[c].to_numpy() for c in ("length", "gram", "n"))
+    by_length = [(number[length == k], gram[length == k].view(np.uint64), n[length == k]) for k in range(order + 1)]
     return Ppm(langs, by_length)
 
 
