@@ -22,6 +22,8 @@ empty table gives an empty result. One conversation is one string, hence in one
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -49,7 +51,8 @@ def unescape(text: Column) -> Column:
 def jumps(messages: DataFrame) -> list[DataFrame]:
     """Rounds of (node, above, total): the message 2^k above a message in round k, NULL beyond the root, and the
     sum of the scores from the message up to that one, which is left out. ``messages`` has (tree, node, parent,
-    score); node names are unique. In the last round all paths that have a root have ended."""
+    score); node names are unique. A round has only messages whose path had not ended in the one before, so a few
+    long trees do not make the others' messages take part again."""
     known = messages.select(F.col("node").alias("parent"))
     links = messages.join(known, "parent", "left_semi").select("node", F.col("parent").alias("above"))
     score = F.coalesce(F.col("score"), F.lit(0.0)).cast("double").alias("total")
@@ -57,20 +60,26 @@ def jumps(messages: DataFrame) -> list[DataFrame]:
     reach, most = 1, messages.groupBy("tree").count().agg(F.max("count")).first()[0] or 1
     # a ring never ends, but no path is longer than its tree is large
     while reach < most and rounds[-1].where(F.col("above").isNotNull()).head(1):
-        now = rounds[-1]
-        next_ = now.select(F.col("node").alias("above"), F.col("above").alias("top"), F.col("total").alias("more"))
-        farther = now.join(next_, "above", "left")
-        total = F.col("total") + F.coalesce("more", F.lit(0.0))
+        now = rounds[-1].where(F.col("above").isNotNull())
+        known = now.unionByName(ended(rounds))
+        next_ = known.select(F.col("node").alias("above"), F.col("above").alias("top"), F.col("total").alias("more"))
+        farther = now.join(next_, "above")
+        total = F.col("total") + F.col("more")
         rounds.append(stored(farther.select("node", F.col("top").alias("above"), total.alias("total"))))
         reach *= 2
     return rounds
 
 
+def ended(rounds: list[DataFrame]) -> DataFrame:
+    """The messages whose path has a root, each from the round in which it ended, with the sum of the whole path."""
+    return reduce(DataFrame.unionByName, [r.where(F.col("above").isNull()) for r in rounds])
+
+
 def leaves(messages: DataFrame, rounds: list[DataFrame]) -> DataFrame:
     """(tree, leaf, score): the messages that no other answers and whose path has a root, with the path's score."""
     answered = rounds[0].where(F.col("above").isNotNull()).select(F.col("above").alias("node"))
-    ended = rounds[-1].where(F.col("above").isNull()).join(answered, "node", "left_anti")
-    named = messages.select("tree", "node").join(ended.select("node", "total"), "node")
+    last = ended(rounds).join(answered, "node", "left_anti")
+    named = messages.select("tree", "node").join(last.select("node", "total"), "node")
     return named.select("tree", F.col("node").alias("leaf"), F.col("total").alias("score"))
 
 
